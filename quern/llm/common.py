@@ -128,12 +128,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, by: np.n
     return out
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the word offsets of each text."""
+def word_spans(data: np.ndarray, offs: np.ndarray, apart: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words (maximal runs of bytes not in `apart`), and the word offsets of each text."""
     if len(data) == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offs), np.int64)
-    sp = IS_SPACE[data]
+    sp = apart[data]
     edge = np.empty(len(data) + 1, bool)
     edge[0] = True
     edge[1:] = True

@@ -84,6 +84,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     q = q.select(F.col("id").alias("_i"), F.col("_nr").alias("_n"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
     both = numbered.join(q, F.col(id_col).eqNullSafe(F.col("_i")) & (F.col("_nr") == F.col("_n")))
     copies = both.withColumn("_left", F.explode(F.expr("transform(sequence(0L, (_taken - 1) div _size), i -> least(_size, _taken - i * _size))")))
-    cut = F.regexp_extract(text, F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){"), F.col("_left").cast("string"), F.lit("}")), F.lit(0))
+    pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_left").cast("int")), "")
     out = copies.withColumn(text_col, F.when(F.col("_left") == F.col("_size"), F.col(text_col)).otherwise(cut))
     return out.select(*docs.columns)
