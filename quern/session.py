@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,3 +30,28 @@ def local_session(cores: int | str = "*", app: str = "quern", **extra: str) -> S
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables of a data folder (any path that Spark reads)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where the setting is absent, a local session gets a folder under /tmp; a cluster without it is an error, as
+    executors would write where nobody else can read.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if found:
+        return found.rstrip("/")
+    if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        return f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
+    raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: cuts the lineage, survives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/quern/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
