@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import words
+from ..session import ship
 
 LONGEST, SHORTEST = 13, 8
 
@@ -124,6 +125,7 @@ def decontaminated(docs: DataFrame, found: DataFrame, kept: DataFrame, id_col: s
                     rows += [(i, k, p, status) for k, p in enumerate(pieces)]
             yield pd.DataFrame(rows, columns=["id", "piece", "text", "status"])
 
+    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     done = both.where("grams is not null").select("id", "text", "grams").mapInPandas(cut, f"id {kind}, piece int, text string, status string")
     return done.union(both.where("grams is null").select("id", F.lit(0).alias("piece"), "text", F.lit("clean").alias("status")))

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import ship, stage
 from .graph import connected_components
 
 PRIME = (1 << 31) - 1
@@ -53,6 +53,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 out.append(low.astype(np.int64))
             yield pd.DataFrame({"id": d["id"], "sig": out})
 
+    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return src.mapInPandas(sign, f"id {kind}, sig array<bigint>")
 
