@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship, stage
+
 #: The five ASCII separators besides the blank; a word is a maximal run of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
@@ -18,33 +19,13 @@ SPACES = " \t\n\x0b\x0c\r"
 CHUNK_BYTES = 1 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Where the setting is absent, a local session gets a folder under /tmp; a cluster without it is an error, as
-    executors would write where nobody else can read.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
-        return f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
-    raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-
-
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts the lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/quern/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(c: F.Column | str) -> F.Column:
     """Lower-case A-Z only."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def arrow_map(df: DataFrame, f: Callable, schema: str) -> DataFrame:
+    ship(df.sparkSession)
     return df.mapInArrow(f, schema)
 
 
@@ -147,3 +128,6 @@ def word_spans(data: np.ndarray, offs: np.ndarray, apart: np.ndarray = IS_SPACE)
     edge[offs[offs > 0] - 1] = True
     ends = np.flatnonzero(word & edge[:-1]) + 1
     return starts, ends, np.searchsorted(starts, offs)
+
+
+__all__ = ["BYTE", "BYTE_LOWER", "CHUNK_BYTES", "IS_SPACE", "SPACES", "U", "WORD", "arrow_map", "ascii_lower", "mix", "seeds", "span_hashes", "stage", "text_chunks", "word_spans"]

@@ -31,8 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graph import connected_components
 from .common import BYTE_LOWER, U, arrow_map, mix, seeds, span_hashes, stage, text_chunks, word_spans
-from .graph import connected_components
+
 
 #: Ids of candidate documents up to this many are broadcast (8 bytes each) instead of shuffling all texts.
 BROADCAST_IDS = 500_000

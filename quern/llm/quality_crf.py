@@ -206,4 +206,4 @@ def good_documents(docs: DataFrame, model: dict, text_col: str = "text", *, cuto
             for lo, hi, data, offs in text_chunks(b, text_col):
                 yield b.slice(lo, hi - lo).filter(pa.array(score(model, data, offs) >= cutoff))
 
-    return docs.mapInArrow(keep, schema)
+    return arrow_map(docs, keep, schema)
