@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("text", "dedup")
+FAMILIES = ("text", "dedup", "windows")
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 for _name in FAMILIES:
