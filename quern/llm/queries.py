@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..session import table
 from . import ann_forest, chat_collapse, license_scan, line_dedup, minhash_dedup, packing, quality_crf, quality_rules, source_mix, token_counts
-from .common import stage
 
 NOT_HELD_OUT = "pmod(crc32(cast(doc_id as string)), 4) <> 2"
 
@@ -89,6 +88,27 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {}
-
-__all__ = ["ORACLES", "QUERIES", "stage"]
+_WORDS = r"len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_PIECE = "coalesce(length({0}) || ':' || {0}, '-')"
+
+#: Operators 1, 2, 4, 6, 7, 9 and 10 and the pipeline have no SQL that is the same (or fast enough); tests/llm holds
+#: them against plain Python.
+ORACLES: dict[str, str] = {
+    "op3_source_mixing": f"""with d as (select doc_id, source, case when text is null then 0 else {_WORDS} end::bigint as size from documents),
+s as (select source, sum(size)::bigint as source_size from d group by source),
+n as (select *, ((row_number() over (order by source nulls last) - 1) % 3 + 1)::double as w, row_number() over (order by source nulls last) as nr, sum(source_size) over ()::bigint as budget from s),
+l as (select *, 3.0::double * source_size as most, 3.0::double * source_size / w as level from n),
+r as (select *, (budget - coalesce(sum(most) over (order by level, nr rows between unbounded preceding and 1 preceding), 0)) / sum(w) over (order by level, nr rows between current row and unbounded following) as rate from l),
+t as (select source, source_size, least(most, w * max(case when rate <= level then rate end) over ()) as target from r),
+q as (select d.*, source_size, target, coalesce(sum(size) over (partition by d.source order by md5('1:' || doc_id), doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint as start from d join t on d.source is not distinct from t.source)
+select doc_id, size, source_size, target, (greatest(0, least(size, round(target)::bigint - start)) + greatest(0, least(size, round(target)::bigint - start - source_size)) + greatest(0, least(size, round(target)::bigint - start - 2 * source_size)))::bigint as taken from q""",
+    "op5_chat_formatting": f"""with c as (select *, string_agg({_PIECE.format('role')} || '|' || {_PIECE.format('text')}, ';') over w as p, row_number() over w as k, count(*) over (partition by conv_id) as n from conversations where conv_id is not null window w as (partition by conv_id order by turn, role, text rows unbounded preceding)),
+f as (select p, min(conv_id) as conv_id from c where k = n and p not in (select p from c where k < n) group by p)
+select conv_id, count(*) as n_turns, string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' order by turn, role, text) as text from conversations where conv_id in (select conv_id from f) group by conv_id""",
+    "op8_line_dedup": f"""with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) as pos from documents),
+k as (select *, translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+s as (select key, max(doc_id) as last from k where length(key) >= 20 group by key having count(distinct doc_id) >= 3),
+j as (select k.*, coalesce(k.doc_id < s.last, false) as goes from k left join s using (key))
+select doc_id, count(*) as n_lines, count(*) filter (goes) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not goes), '')) as kept_sha256 from j group by doc_id""",
+}
