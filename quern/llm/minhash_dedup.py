@@ -12,7 +12,8 @@ Links are confirmed on the full sets. A bucket never emits all its pairs:
    shares buckets with the most others; in a group of edited copies this is the original);
 2. buckets that the links of 1 leave in more than one component go through an exact similarity join: shingles are
    ordered from rare to common, and only those in the first n - ceil(t n) + 1 of a set can show a pair that reaches
-   the threshold. Pairs inside a component are not made.
+   the threshold; a pair is made only where its sets still have enough left behind that shingle. Pairs inside a
+   component are not made.
 
 So a pair is lost only if it shares no bucket: (1 - J^R)^(T/R), 5e-8 at J = 0.8 for T = 128, R = 4.
 
@@ -34,7 +35,6 @@ from pyspark.sql import functions as F
 from ..operators.graph import connected_components
 from .common import BYTE_LOWER, U, arrow_map, mix, seeds, span_hashes, stage, text_chunks, word_spans
 
-
 #: Ids of candidate documents up to this many are broadcast (8 bytes each) instead of shuffling all texts.
 BROADCAST_IDS = 500_000
 
@@ -170,11 +170,14 @@ def _rest(mem: DataFrame, sets: DataFrame, comp: DataFrame, percent: int) -> Dat
     often = post.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ranked = post.join(often, "h").selectExpr("*", "row_number() over (partition by rep order by df, h) as r", "count(1) over (partition by rep) as m")
     # shingles that no other set holds come first; they can't make a pair
-    prefix = stage(ranked.where(f"r + n - m <= n - ceil({percent} * n / 100D) + 1").select("h", "rep", "c", "n"), "prefix")
+    ranked = ranked.withColumn("at", F.expr("r + n - m"))
+    prefix = stage(ranked.where(f"at <= n - ceil({percent} * n / 100D) + 1").select("h", "rep", "c", "n", "at"), "prefix")
     by_c = prefix.groupBy("h", "c").agg(F.count(F.lit(1)).alias("k"))
     main = by_c.groupBy("h").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count(F.lit(1)).alias("cs")).where("cs > 1").select("h", "main")
     tagged = prefix.join(main, "h")
-    other = tagged.where("c <> main").select("h", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"))
-    pairs = other.join(tagged, "h").where("c <> cx and (c = main or rep > x)").where(F.expr(f"100 * least(n, nx) >= {percent} * greatest(n, nx)"))
+    other = tagged.where("c <> main").select("h", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("atx"))
+    # at its first common shingle a pair can't share more than what is left of either set from there on
+    reach = F.expr(f"{100 + percent} * (least(n - at, nx - atx) + 1) >= {percent} * (n + nx)")
+    pairs = other.join(tagged, "h").where("c <> cx and (c = main or rep > x)").where(F.expr(f"100 * least(n, nx) >= {percent} * greatest(n, nx)") & reach)
     pairs = stage(pairs.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct(), "pairs")
     return stage(_verified(pairs, sets, percent), "links")
