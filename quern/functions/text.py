@@ -97,7 +97,7 @@ def trailing_question_mark_dropped(text: Column) -> Column:
 
 def retrieval_tokens(text: Column) -> Column:
     """Runs of letters, digits and marks, or single other visible characters."""
-    return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}\p{M}]+|[^\p{Z}\p{C}]"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(r"[\p{M}\p{N}\p{L}]+|[^\p{C}\p{Z}]"), F.lit(0))
 
 
 def format_reward(text: Column) -> Column:

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: What stands for an image in rendered text.
+VISION = "".join(f"<|{x}|>" for x in ("vision_start", "image_pad", "vision_end"))
+
+
 def gathered(chats: DataFrame) -> DataFrame:
     """(conv_id, m): the turns of a conversation in order, as an array of (turn, role, content)."""
     x = F.struct("turn", "role", F.col("text").alias("content"))
@@ -47,7 +51,7 @@ def chatml(m: Column, system: str = "You are a helpful assistant.") -> Column:
     """V-A5: tagged form; a default system unless the first turn is one; image marks become the vision triple."""
     body = F.array_join(F.transform(m, lambda x: F.concat(F.lit("<|im_start|>"), x["role"], F.lit("\n"), x["content"], F.lit("<|im_end|>\n"))), "")
     head = F.when(F.get(m, F.lit(0))["role"] == "system", "").otherwise(f"<|im_start|>system\n{system}<|im_end|>\n")
-    return F.replace(F.concat(head, body), F.lit("<image>"), F.lit("<|vision_start|><|image_pad|><|vision_end|>"))
+    return F.replace(F.concat(head, body), F.lit("<image>"), F.lit(VISION))
 
 
 def budgeted(source: Column, target: Column, cutoff: int) -> tuple[Column, Column]:
@@ -81,7 +85,7 @@ def context_rows(chats: DataFrame, role: str = "assistant", joiner: str = " [SEP
 def role_mapped(role: Column, text: Column) -> tuple[Column, Column]:
     """Human and gpt by their usual names; image marks with their line ends become the vision triple."""
     name = F.when(role == "human", "user").when(role == "gpt", "assistant").otherwise(role)
-    return name, F.regexp_replace(text, "\n?<image>\n?", "<|vision_start|><|image_pad|><|vision_end|>")
+    return name, F.regexp_replace(text, "\n?<image>\n?", VISION)
 
 
 def question_prompt(m: Column) -> Column:

@@ -104,7 +104,7 @@ _VA2 = f"""with c as {_M}, b as (select conv_id, m, list_position(list_transform
 r as (select conv_id, case when p > 0 then m[p].content else '' end as system, case when p > 0 then list_concat(m[1:p-1], m[p+1:]) else m end as r from b),
 k as (select conv_id, system, case when len(r) % 2 = 0 and len(list_filter(list_transform(r, lambda x, i: case when i % 2 = 1 then x.role in ('user', 'observation') else x.role in ('assistant', 'function') end), lambda o: not o)) = 0 then r else r[1:0] end as r from r)
 select conv_id, system, md5({_JS.format('r[1:len(r)-1]')}) as prompt, md5({_JS.format('r[greatest(len(r), 1):len(r)]')}) as response, coalesce(list_sum(list_transform(r, lambda x: length(x.content))), 0)::bigint as d_len from k"""
-_CML = "case when m[1].role = 'system' then '' else '<|im_start|>system' || chr(10) || 'You are a helpful assistant.<|im_end|>' || chr(10) end || replace(array_to_string(list_transform(m, lambda x: '<|im_start|>' || x.role || chr(10) || x.content || '<|im_end|>' || chr(10)), ''), '<image>', '<|vision_start|><|image_pad|><|vision_end|>')"
+_CML = f"case when m[1].role = 'system' then '' else '<|im_start|>system' || chr(10) || 'You are a helpful assistant.<|im_end|>' || chr(10) end || replace(array_to_string(list_transform(m, lambda x: '<|im_start|>' || x.role || chr(10) || x.content || '<|im_end|>' || chr(10)), ''), '<image>', '{C.VISION}')"
 _S, _T = "length(answer)", "length(guess)"
 _TT = f"least(case when {_T} * 2 < 512 then 512 when {_S} * 2 < 512 then 512 - {_S} else floor(512.0::double * ({_T}::double / greatest({_S} + {_T}, 1))) end, {_T})::bigint"
 
@@ -116,7 +116,7 @@ ORACLES = {
     "VA6_budgeted_truncation": f"select conv_id, least(greatest(512 - {_TT}, 0), {_S})::bigint as source, {_TT} as target from {_PAIRS}",
     "VA8_prompt_response": f"select conv_id, list_filter(m, lambda x: x.role = 'user')[1].content as prompt, list_filter(m, lambda x: x.role = 'assistant')[1].content as response from {_M}",
     "VA10_context_rows": "select conv_id, turn, md5(context) as context, md5(text) as response from (select conv_id, turn, role, text, string_agg(text, ' [SEP] ') over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding) as context, row_number() over (partition by conv_id order by turn) as k from conversations) where k > 1 and role = 'assistant'",
-    "P11_role_map": "select conv_id, turn, case role when 'human' then 'user' when 'gpt' then 'assistant' else role end as role, regexp_replace(text, '\\n?<image>\\n?', '<|vision_start|><|image_pad|><|vision_end|>', 'g') as text from conversations",
+    "P11_role_map": f"select conv_id, turn, case role when 'human' then 'user' when 'gpt' then 'assistant' else role end as role, regexp_replace(text, '\\n?<image>\\n?', '{C.VISION}', 'g') as text from conversations",
     "X7_question_prompt": f"select conv_id, md5(array_to_string(list_transform(m, lambda x, i: case when i % 2 = 1 then 'Question: ' || x.content else ' Answer: ' || x.content || chr(10) end), '')) as prompt from {_M}",
     "P13_format_reward": "select conv_id, turn, case when contains(text, chr(10)) then 0.0 else 1.0 end::double as reward from conversations",
     "S2_tumbling_buckets": f"select * from {_BUCK}",

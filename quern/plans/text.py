@@ -110,7 +110,7 @@ ORACLES = {
     "P3_normalize_answer": f"select doc_id, md5({_NORM.format('text', ' ')}) as spaced, md5({_NORM.format('text', '')}) as closed from documents",
     "P12_sentence_end": "select conv_id, turn, case when regexp_matches(text, '[?.!]$') then text else text || '.' end as text from conversations",
     "C1_words": f"select doc_id, len({_WORDS})::int as n, md5(array_to_string({_WORDS}, ' ')) as w from documents",
-    "X10_retrieval_tokens": r"select doc_id, md5(array_to_string(regexp_extract_all(text, '[\p{L}\p{N}\p{M}]+|[^\p{Z}\p{C}]'), ' ')) as w from documents",
+    "X10_retrieval_tokens": r"select doc_id, md5(array_to_string(regexp_extract_all(text, '[\p{M}\p{N}\p{L}]+|[^\p{C}\p{Z}]'), ' ')) as w from documents",
     "X11_question_normalize": r"select conv_id, turn, regexp_replace(text, '\?$', '') as text from conversations",
     "D11_exact_url_dedup": "select min(page_id) as page_id, url from pages group by url",
 }

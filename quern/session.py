@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,7 +68,7 @@ def ship(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
-    top = os.path.dirname(os.path.abspath(__file__))
+    top = str(Path(__file__).resolve().parent)
     path = os.path.join(tempfile.mkdtemp(prefix="quern-"), "quern.zip")
     with zipfile.ZipFile(path, "w") as z:
         for folder, _, names in os.walk(top):

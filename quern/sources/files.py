@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FORMATS = {"csv": "csv", "json": "json", "jsonl": "json", "parquet": "parquet", "txt": "text", "orc": "orc"}
+FORMATS = {x: x for x in ("csv", "json", "orc", "parquet")} | {"jsonl": "json", "txt": "text"}
 
 
 def jsonl(spark: SparkSession, path: str, schema: str | None = None) -> tuple[DataFrame, DataFrame]:

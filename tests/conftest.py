@@ -1,9 +1,10 @@
 import os
 import sys
+from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 SF = os.environ.get("QUERN_TEST_DATA", "/root/testdata/sf0.001")
 
