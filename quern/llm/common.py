@@ -29,7 +29,7 @@ def arrow_map(df: DataFrame, f: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(f, schema)
 
 
-# --- Arrow strings as one byte array -------------------------------------------------------------------------
+# Arrow strings as one byte array
 
 
 def text_chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -50,7 +50,7 @@ def text_chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) ->
         at = end
 
 
-# --- hashing ---------------------------------------------------------------------------------------------------
+# Hashing
 
 U = np.uint64
 
