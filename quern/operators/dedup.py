@@ -41,15 +41,18 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     a, b = (np.array(x, np.uint64) for x in zip(*permutations(perms, seed), strict=True))
     base = F.transform(char_shingles(F.col(text_col)), lambda s: F.conv(F.substring(F.md5(s), 1, 7), 16, 10).cast("long"))
-    src = docs.select(F.col(id_col).alias("id"), base.alias("h")).where(F.size("h") > 0)
+    src = docs.select(F.col(id_col).alias("id"), base.alias("h"))
+    p, shift = np.uint64(PRIME), np.uint64(31)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for d in batches:
-            out = []
+            d, out = d[d["h"].map(lambda h: h is not None and len(h) > 0)], []
             for h in d["h"]:
                 h, low = np.unique(np.asarray(h, np.uint64)), np.full(perms, PRIME, np.uint64)
-                for at in range(0, len(h), 4096):
-                    low = np.minimum(low, ((h[at : at + 4096, None] * a + b) % np.uint64(PRIME)).min(axis=0))
+                for at in range(0, len(h), 512):
+                    x = h[at : at + 512, None] * a + b
+                    x = (x & p) + (x >> shift)  # modulo 2^31 - 1, but for one subtraction
+                    low = np.minimum(low, np.where(x >= p, x - p, x).min(axis=0))
                 out.append(low.astype(np.int64))
             yield pd.DataFrame({"id": d["id"], "sig": out})
 

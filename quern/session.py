@@ -32,7 +32,17 @@ def local_session(cores: int | str = "*", app: str = "quern", **extra: str) -> S
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables of a data folder (any path that Spark reads)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return dealt_out(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def dealt_out(df: DataFrame) -> DataFrame:
+    """df, or its rows dealt out evenly if its scan has some splits but fewer than the cluster has cores.
+
+    A file of one row group is one task however many splits it has. A table with that few splits is small against the
+    cluster; larger ones are read where they lie, and one split is not worth a shuffle.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if 1 < df.rdd.getNumPartitions() < n else df
 
 
 def shared_dir(spark: SparkSession) -> str:
