@@ -98,6 +98,11 @@ def confirmed(family: str, h: np.ndarray) -> bool:
     return any(len(t & have) >= CONFIRMED * min(len(t), max(3, len(have))) for t in _template_pairs()[family])
 
 
+def _any_confirmed(text: str) -> bool:
+    h = _tokens(text)
+    return not _all_pairs().isdisjoint(mix(h[:-1] * U(3) + h[1:]).tolist()) and any(confirmed(f, h) for f in TEMPLATES)
+
+
 def scan(model: dict, data: np.ndarray, offs: np.ndarray) -> list[dict[str, float]]:
     """For each text the licences found, with the best probability of each."""
     out: list[dict[str, float]] = [{} for _ in range(len(offs) - 1)]
@@ -138,7 +143,7 @@ def _variants(rng: np.random.Generator, filler: list[str], each: int) -> tuple[l
 def train(lines: list[str], seed: int = 5, each: int = 12, steps: int = 150) -> dict:
     """The model from plain corpus lines and the templates."""
     rng = np.random.default_rng(seed)
-    lines = [x for x in lines if not any(confirmed(f, _tokens(x)) for f in TEMPLATES)]
+    lines = [x for x in lines if not _any_confirmed(x)]
     plain = "the of and to in a is that for it as was with be by on this are from or not have an which at but all were can has more one about use file text work book page terms version free software source code license public general copy rights reserved".split()
     filler = sorted({w for x in lines[:500] for w in x.split()[:10]} | set(plain))
     pos, y = _variants(rng, filler, each)
@@ -152,34 +157,41 @@ def train(lines: list[str], seed: int = 5, each: int = 12, steps: int = 150) ->
     one = np.arange(len(texts))
     g, at = grams(h, doc, one)
     size = np.sqrt(np.maximum(np.bincount(at, minlength=len(texts)), 1)).astype(np.float32)
-    order = np.argsort(at, kind="stable")
-    g, at = g[order], at[order]
-    used, col = np.unique(g, return_inverse=True)
-    x = np.zeros((len(texts), len(used)), np.float32)
-    np.add.at(x, (at, col), 1)
-    x /= size[:, None]
+    bags = _Bags(g, at, size, BUCKETS)
     held = rng.random(len(texts)) < 0.2
-    w, b = np.zeros((len(used), len(FAMILIES)), np.float32), np.zeros(len(FAMILIES), np.float32)
+    w, b = np.zeros((BUCKETS, len(FAMILIES)), np.float32), np.zeros(len(FAMILIES), np.float32)
     goal = np.eye(len(FAMILIES), dtype=np.float32)[y]
     weight = np.where(y == 0, 1.0, max(1.0, (y == 0).sum() / max(1, (y > 0).sum()))).astype(np.float32)[:, None]
-    fit, mw, vw = ~held, np.zeros_like(w), np.zeros_like(w)
-    xf = x[fit]
+    weight[held] = 0
+    mw, vw = np.zeros_like(w), np.zeros_like(w)
     for k in range(1, steps + 1):
-        p = _softmax(xf @ w + b)
-        e = (p - goal[fit]) * weight[fit] / weight[fit].sum()
-        gw = xf.T @ e + 1e-6 * w
+        e = (_softmax(bags.scores(w) + b) - goal) * weight / weight.sum()
+        gw = bags.gradient(e) + 1e-6 * w
         mw += 0.1 * (gw - mw)
         vw += 0.01 * (gw * gw - vw)
         w -= 0.1 * (mw / (1 - 0.9**k)) / (np.sqrt(vw / (1 - 0.99**k)) + 1e-8)
         b -= 0.5 * e.sum(axis=0)
-    z = x[held] @ w + b
+    z = (bags.scores(w) + b)[held]
     heat = min((0.5, 0.7, 1.0, 1.5, 2.0, 3.0), key=lambda t: -float(np.log(_softmax(z / t)[np.arange(len(z)), y[held]] + 1e-9).mean()))
     p = _softmax(z / heat)
     quiet = 1 - p[y[held] == 0, 0]
     needs = float(np.clip(np.quantile(quiet, 1 - NOISE) + 0.05 if len(quiet) else 0.5, 0.5, 0.9))
-    full = np.zeros((BUCKETS, len(FAMILIES)), np.float32)
-    full[used] = w
-    return {"w": full, "b": b, "heat": np.float32(heat), "needs": needs}
+    return {"w": w, "b": b, "heat": np.float32(heat), "needs": needs}
+
+
+class _Bags:
+    """Sparse bags of hashed n-grams, each divided by the root of its size."""
+
+    def __init__(self, g: np.ndarray, at: np.ndarray, size: np.ndarray, buckets: int):
+        self.g, self.at, self.size, self.buckets = g, at, size[:, None], buckets
+
+    def scores(self, w: np.ndarray) -> np.ndarray:
+        sums = [np.bincount(self.at, v[self.g], len(self.size)) for v in w.T.copy()]
+        return np.stack(sums, axis=1).astype(np.float32) / self.size
+
+    def gradient(self, e: np.ndarray) -> np.ndarray:
+        sums = [np.bincount(self.g, v[self.at], self.buckets) for v in (e / self.size).T.copy()]
+        return np.stack(sums, axis=1).astype(np.float32)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ marginals of "good", weighted by length. Whole texts are scored, on their bytes,
 
 Edge cases: null texts and texts without a word score the training documents' share of label 1 (0.5 without labels);
 null labels and labels of unknown documents are ignored; repeated labels count each; documents of any length are
-scored whole (training looks at the first TRAIN_LINES lines of a document); other columns are never looked at; without
+scored whole (training looks at a run of TRAIN_LINES lines of a document, at a place drawn from its id); other columns are never looked at; without
 two kinds of labels every score is that share.
 """
 
@@ -157,11 +157,20 @@ def score(model: dict, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out
 
 
+def _run_starts(ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Where in documents of n lines the run of TRAIN_LINES lines begins that training looks at: by digest of the id."""
+    room = np.maximum(n - TRAIN_LINES, 0) + 1
+    return (mix(ids.astype(np.int64).view(np.uint64) ^ U(0x51ED2701)) % room.astype(np.uint64)).astype(np.int64)
+
+
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for lo, hi, data, offs in text_chunks(b, "text"):
             f, _, doc = line_features(data, offs)
-            cut = np.arange(len(doc)) - np.searchsorted(doc, doc) < TRAIN_LINES
+            n = np.bincount(doc, minlength=hi - lo)
+            start = _run_starts(b.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False), n)
+            nth = np.arange(len(doc)) - np.searchsorted(doc, doc) - start[doc]
+            cut = (nth >= 0) & (nth < TRAIN_LINES)
             f, doc = f[cut].astype(np.float32), doc[cut]
             at = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32) * N_OWN
             yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(at), pa.array(f.ravel()))], ["id", "y", "f"])
