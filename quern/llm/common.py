@@ -29,6 +29,19 @@ def arrow_map(df: DataFrame, f: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(f, schema)
 
 
+def drawn(df: DataFrame, most: int, id_col: str = "id", *ties: str) -> DataFrame:
+    """At most `most` rows of df: those with the smallest id digests (ties by id, then `ties`).
+
+    A bound on the digest that leaves about twice as many goes first, so a task returns few rows however many tasks
+    there are; should it leave too few, the rows are taken without it.
+    """
+    digest, n = F.xxhash64(id_col), df.count()
+    if n > 4 * most:
+        near = df.where(digest < int(2 * most / n * 2**64) - 2**63)
+        df = near if near.limit(most).count() == most else df
+    return df.orderBy(digest, id_col, *ties).limit(most)
+
+
 # Arrow strings as one byte array
 
 
@@ -130,4 +143,4 @@ def word_spans(data: np.ndarray, offs: np.ndarray, apart: np.ndarray = IS_SPACE)
     return starts, ends, np.searchsorted(starts, offs)
 
 
-__all__ = ["BYTE", "BYTE_LOWER", "CHUNK_BYTES", "IS_SPACE", "SPACES", "U", "WORD", "arrow_map", "ascii_lower", "mix", "seeds", "span_hashes", "stage", "text_chunks", "word_spans"]
+__all__ = ["BYTE", "BYTE_LOWER", "CHUNK_BYTES", "IS_SPACE", "SPACES", "U", "WORD", "arrow_map", "ascii_lower", "drawn", "mix", "seeds", "span_hashes", "stage", "text_chunks", "word_spans"]

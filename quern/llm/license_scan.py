@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_LOWER, U, arrow_map, mix, span_hashes, text_chunks, word_spans
+from .common import BYTE_LOWER, U, arrow_map, drawn, mix, span_hashes, text_chunks, word_spans
 from .license_texts import TEMPLATES
 
 FAMILIES = ("none", *TEMPLATES)
@@ -207,9 +207,9 @@ def _tokens(text: str) -> np.ndarray:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, negatives: int = NEGATIVES) -> dict:
     """The model; its plain lines are the middle ones of at most `negatives` documents, those with the smallest digests."""
-    src = docs.where(F.col(text_col).isNotNull()).orderBy(F.xxhash64(id_col), id_col).limit(negatives)
     line = F.expr(f"split(`{text_col}`, '\\n', -1)")
-    got = src.select(F.substring(F.element_at(line, F.greatest(F.lit(1), (F.size(line) / 2).cast("int"))), 1, 400).alias("x")).collect()
+    middle = F.element_at(line, F.greatest(F.lit(1), (F.size(line) / 2).cast("int")))
+    got = drawn(docs.select(F.col(id_col).alias("id"), F.substring(middle, 1, 400).alias("x")), negatives).collect()
     return train(sorted(r.x for r in got if r.x and r.x.strip()))
 
 
