@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stage
+from .common import arrow_map, drawn, stage
 
 SAMPLE, BLOCK, LEAF, PROBE = 16_384, 4_096, 40, 1_500
 
@@ -149,7 +149,7 @@ def nearest(vectors: DataFrame, is_query: str, id_col: str = "vec_id", vec_col:
     if common is None:
         return empty
     rows = rows.where(F.size("v") == common.n)
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()
+    sample = drawn(rows, SAMPLE).toPandas()
     x = np.array(sample["v"].tolist(), np.float64)
     forest = Forest(x, trees, seed)
     held = spark.sparkContext.broadcast(forest)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, arrow_map, mix, span_hashes, text_chunks, word_spans
+from .common import U, arrow_map, drawn, mix, span_hashes, text_chunks, word_spans
 
 TRAIN_DOCS, TRAIN_LINES, STEPS = 4_000, 48, 120
 
@@ -179,7 +179,7 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, where: str = "true", most: int = TRAIN_DOCS) -> dict:
     """The model, from labels(doc_id, quality) for which `where` (on doc_id) holds; at most `most` documents."""
     known = labels.where("quality in (0, 1) and doc_id is not null").where(where).select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("y"))
-    known = known.orderBy(F.xxhash64("id"), "id", "y").limit(most)
+    known = drawn(known, most, "id", "y")
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     both = src.join(F.broadcast(known), "id").select("id", "y", "text")
     rows = arrow_map(both, _line_rows, "id long, y int, f array<float>").toPandas().sort_values(["id", "y"], kind="stable")
