@@ -45,7 +45,9 @@ def _pieces(s, d):
     return C.decontaminated(docs(s, d), found, C.telling(C.document_frequency(dic, found)))
 
 
-_SH = "(select doc_id, list_distinct(list_transform(range(1, greatest(len(c) - 4, 1)), lambda i: array_to_string(c[i:i+4], ''))) as s from (select doc_id, string_split(text, '') as c from documents))"
+_CH = "select doc_id, unnest(string_split(text, '')) as c, generate_subscripts(string_split(text, ''), 1) as p from documents"
+_WIN = f"select doc_id, c || lead(c) over w || lead(c, 2) over w || lead(c, 3) over w || lead(c, 4) over w as x, lead(c, 5) over w as more from ({_CH}) window w as (partition by doc_id order by p)"
+_SH = f"(select documents.doc_id, coalesce(any_value(g.s), []) as s from documents left join (select doc_id, list(distinct x) as s from ({_WIN}) where more is not null group by doc_id) g on g.doc_id = documents.doc_id group by documents.doc_id)"
 _A, _B = zip(*D.permutations(100))
 _SIG = f"""sh as materialized {_SH},
 hs as (select distinct doc_id, ('0x' || substr(md5(unnest(s)), 1, 7))::bigint as h from sh),
