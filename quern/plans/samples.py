@@ -21,7 +21,24 @@ def encoded(s, d):
 
 
 def tokens(s, d):
-    return docs(s, d).select(F.col("doc_id").alias("id"), F.slice(words(F.col("text")), 1, 512).alias("w")).where("size(w) > 0")
+    return docs(s, d).select(F.col("doc_id").alias("id"), words(F.col("text")).alias("w")).where("size(w) > 0")
+
+
+def _masked(s, d):
+    row = lambda r: [(r.id, k, len(w), len(S.masked(w, S.sample_seed(r.id, k))[1])) for k, w in enumerate(S.consecutive(list(r.w), 512))]
+    return S.per_row(tokens(s, d), row, "id long, sample int, n int, masked int")
+
+
+def _corrupted(s, d):
+    row = lambda r: [(r.id, k, *map(len, S.span_corrupted(w, S.sample_seed(r.id, k)))) for k, w in enumerate(S.consecutive(list(r.w), 512))]
+    return S.per_row(tokens(s, d), row, "id long, sample int, encoder int, decoder int")
+
+
+def _pair_samples(s, d):
+    t = docs(s, d).select(F.col("doc_id").alias("id"), F.filter(F.transform(X.sentences(F.col("text")), lambda x: words(x)), lambda x: F.size(x) > 0).alias("s")).where("size(s) > 1")
+    one = lambda g, seed: (lambda x: (len(x[0]), sum(x[1]), x[2]))(S.pair_sample(g, 128, seed))
+    row = lambda r: [(r.id, k, *one(g, S.sample_seed(r.id, k))) for k, g in enumerate(S.pair_groups([list(y) for y in r.s], 128))]
+    return S.per_row(t, row, "id long, sample int, n int, second int, swapped boolean")
 
 
 def turns(s, d):
@@ -61,9 +78,9 @@ QUERIES = {
     "W7_sentence_pairs": lambda s, d: S.sentence_pair_index(encoded(s, d)),
     "W7_short_sentence_pairs": lambda s, d: S.sentence_pair_index(encoded(s, d), short=0.1),
     "W8_blocks": lambda s, d: S.block_index(encoded(s, d).withColumn("title", F.lit(8))),
-    "W9_masked_tokens": lambda s, d: S.per_row(tokens(s, d), lambda r: [(r.id, len(r.w), len(S.masked(list(r.w), 7 + r.id)[1]))], "id long, n int, masked int"),
-    "W10_pair_samples": lambda s, d: S.per_row(docs(s, d).select(F.col("doc_id").alias("id"), F.filter(F.transform(X.sentences(F.col("text")), lambda x: words(x)), lambda x: F.size(x) > 0).alias("s")).where("size(s) > 1"), lambda r: [(r.id, len(x[0]), sum(x[1]), x[2]) for x in [S.pair_sample([list(y) for y in r.s][:20], 128, 7 + r.id)]], "id long, n int, second int, swapped boolean"),
-    "W11_span_corruption": lambda s, d: S.per_row(tokens(s, d), lambda r: [(r.id, len(x[0]), len(x[1])) for x in [S.span_corrupted(list(r.w), 7 + r.id)]], "id long, encoder int, decoder int"),
+    "W9_masked_tokens": _masked,
+    "W10_pair_samples": _pair_samples,
+    "W11_span_corruption": _corrupted,
     "W12_inverse_cloze": lambda s, d: S.per_row(docs(s, d).select(F.col("doc_id").alias("id"), X.sentences(F.col("text")).alias("s")).where("size(s) > 1"), lambda r: [(r.id, x[0], len(x[1])) for x in [S.inverse_cloze(list(r.s), 7 + r.id)]], "id long, query string, block int"),
     "VA7_supervised_encode": _supervised,
     "B10_repeat": lambda s, d: S.repeated(docs(s, d).select("doc_id"), (F.col("doc_id") % 3 + 1).cast("int")),
