@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .ordinal import running
 
 
@@ -35,23 +37,24 @@ def normalized(weights: Sequence[float]) -> list[float]:
     return [w / total for w in weights]
 
 
-def greedy_blend(weights: Sequence[float], size: int) -> np.ndarray:
-    """At step i the dataset with the largest w max(i, 1) - count, the first of equals."""
-    w, count, out = np.asarray(weights, float), np.zeros(len(weights)), np.empty(size, np.int16)
-    for i in range(size):
-        out[i] = k = int(np.argmax(w * max(i, 1) - count))
+def _picks(w: np.ndarray, count: np.ndarray, start: int, stop: int, most: np.ndarray | float) -> np.ndarray:
+    """The datasets of the places from start to stop; `count`, what stands before of each dataset, is carried on."""
+    out = np.empty(stop - start, np.int32)
+    for i in range(start, stop):
+        out[i - start] = k = int(np.argmax(np.where(count < most, w * max(i, 1) - count, -np.inf)))
         count[k] += 1
     return out
 
 
+def greedy_blend(weights: Sequence[float], size: int) -> np.ndarray:
+    """At step i the dataset with the largest w max(i, 1) - count, the first of equals."""
+    return _picks(np.asarray(weights, float), np.zeros(len(weights)), 0, size, np.inf)
+
+
 def exhaustive_blend(sizes: Sequence[int]) -> np.ndarray:
     """The same over datasets that aren't spent, with weights in proportion to sizes; every sample once."""
     n = np.asarray(sizes, np.int64)
-    w, count, out = n / n.sum(), np.zeros(len(n)), np.empty(int(n.sum()), np.int16)
-    for i in range(len(out)):
-        out[i] = k = int(np.argmax(np.where(count < n, w * max(i, 1) - count, -np.inf)))
-        count[k] += 1
-    return out
+    return _picks(n / n.sum(), np.zeros(len(n)), 0, int(n.sum()), n)
 
 
 def blend_index(spark: SparkSession, picks: np.ndarray) -> DataFrame:
@@ -63,6 +66,31 @@ def blend_index(spark: SparkSession, picks: np.ndarray) -> DataFrame:
     return spark.createDataFrame(list(zip(range(len(picks)), picks.tolist(), nth.tolist(), strict=True)), "i long, dataset int, sample long")
 
 
+def blend_ranges(spark: SparkSession, sizes: Sequence[int], exhaustive: bool = False, step: int = 20_000) -> DataFrame:
+    """B3, B4 of any size: (i, dataset, sample) with as many places as samples, weights in proportion to sizes.
+
+    A place depends on all before it, so the driver walks through them, but keeps only the counts at the start of each
+    `step` places; the executors make the rows of these ranges from there.
+    """
+    n = np.asarray(sizes, np.int64)
+    total, most = int(n.sum()), n if exhaustive else np.full(len(n), np.inf)
+    w, count, starts = n / max(total, 1), np.zeros(len(n)), []
+    for at in range(0, total, step):
+        starts.append((at, min(total, at + step), count.astype(np.int64).tolist()))
+        _picks(w, count, *starts[-1][:2], most)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for d in batches:
+            for start, stop, before in d.itertuples(index=False):
+                k = _picks(w, np.array(before, float), start, stop, most)
+                nth = pd.Series(k).groupby(k).cumcount().to_numpy() + np.asarray(before, np.int64)[k]
+                yield pd.DataFrame({"i": np.arange(start, stop), "dataset": k, "sample": nth})
+
+    ship(spark)
+    ranges = spark.createDataFrame(starts, "start long, stop long, before array<long>").repartition(max(1, len(starts)))
+    return ranges.mapInPandas(run, "i long, dataset int, sample long")
+
+
 def split_matrix(spec: str) -> list[tuple[float, float]]:
     """B5: "969, 30, 1" to the bounds of three splits."""
     x = [float(v) for v in re.findall(r"[.0-9]+", spec)][:3]

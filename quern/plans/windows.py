@@ -51,12 +51,18 @@ def _exhaustive(s, d):
     return B.blend_index(s, B.exhaustive_blend([n[k] for k in sorted(n)][:5]))
 
 
+def _all_sizes(s, d):
+    """Samples of every source, null last."""
+    return [r["count"] for r in sorted(docs_by_source(s, d), key=lambda r: (r.source is None, r.source or ""))]
+
+
 _FIVE = "(select (row_number() over (order by source) - 1)::int as k, count(*) as n from documents group by source order by source limit 5)"
 _GREEDY = """with recursive fv as materialized """ + _FIVE + """, c as (select list(n / (select sum(n) from fv) order by k) as w, list(n order by k) as n from fv),
 st as (select 0::bigint as i, -1 as p, list_transform(w, lambda x: 0::bigint) as cnt, w, n from c union all
 select i + 1, b, list_transform(cnt, lambda x, j: case when j = b + 1 then x + 1 else x end), w, n from
 (select *, list_reduce(list_transform(range(0, 5), lambda k: {'v': w[k+1] * greatest(i, 1) - cnt[k+1] - case when cnt[k+1] >= CAP then 1e12 else 0 end, 'k': k}), lambda a, x: case when x.v > a.v then x else a end).k::int as b from st where i < SIZE))
 select i - 1 as i, p as dataset, row_number() over (partition by p order by i) - 1 as sample from st where i > 0"""
+_GREEDY_ALL = _GREEDY.replace(_FIVE, _FIVE.replace(" limit 5", "")).replace("range(0, 5)", "range(0, len(w))")
 _STREAM = f"(select doc_id, {_N} + 1 as len, row_number() over (order by doc_id) - 1 as pos, coalesce(sum({_N} + 1) over (order by doc_id rows between unbounded preceding and 1 preceding), 0)::bigint as start from documents)"
 _ORD = "(select doc_id, row_number() over (order by doc_id) - 1 as ord from documents)"
 _COUNT = "(select count(*) from documents)"
@@ -83,7 +89,9 @@ QUERIES = {
     "W15_sample_chunks": lambda s, d: X.sample_index(stream(s, d), 256).select("sample", F.posexplode(F.sequence(F.lit(0), F.lit(3))).alias("k", "_v")).select((F.col("sample") * 4 + F.col("k")).alias("chunk"), "sample"),
     "B2_normalized_weights": lambda s, d: table(s, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(table(s, d, "documents").agg(F.count(F.lit(1)).alias("t")))).select("source", F.round(F.col("n") / F.col("t"), 9).alias("weight")),
     "B3_greedy_blend": _blend,
+    "B3_greedy_blend_all": lambda s, d: B.blend_ranges(s, _all_sizes(s, d)),
     "B4_exhaustive_blend": _exhaustive,
+    "B4_exhaustive_blend_all": lambda s, d: B.blend_ranges(s, _all_sizes(s, d), exhaustive=True),
     "B6_range_split": lambda s, d: B.range_split(docs(s, d).select("doc_id"), ["doc_id"], "969,30,1").select("doc_id", "split"),
     "B7_requested_sizes": lambda s, d: table(s, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n")).select("source", B.requested(F.lit(1000.0), F.col("n") / 997.0).alias("asked")),
     "B8_interleave": lambda s, d: B.interleaved([docs(s, d).where("doc_id % 3 = 0").select("doc_id"), docs(s, d).where("doc_id % 3 <> 0").select("doc_id")], ["doc_id"]),
@@ -125,6 +133,8 @@ select key, i, token, lead(token) over p as label, (token <> '<eod>')::int as lo
     "W14_last_word_cloze": r"select doc_id, md5(array_to_string(w[1:len(w) - 1], ' ')) as context, w[len(w)] as label from (select doc_id, string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ') as w from documents)",
     "B2_normalized_weights": f"select source, round(count(*) / {_COUNT}, 9) as weight from documents group by source",
     "B3_greedy_blend": _GREEDY.replace("CAP", "1e9").replace("SIZE", "300"),
+    "B3_greedy_blend_all": _GREEDY_ALL.replace("CAP", "1e9").replace("SIZE", "list_sum(n)"),
+    "B4_exhaustive_blend_all": _GREEDY_ALL.replace("CAP", "n[k+1]").replace("SIZE", "list_sum(n)"),
     "B4_exhaustive_blend": _GREEDY.replace("CAP", "n[k+1]").replace("SIZE", "list_sum(n)"),
     "B6_range_split": f"select doc_id, {_SPLIT.format(a='0.969', b='0.999')} as split from {_ORD}",
     "B7_requested_sizes": "select source, ceil(ceil(1000.0 * (count(*) / 997.0)) * 1.005)::bigint as asked from documents group by source",

@@ -5,6 +5,7 @@ import re
 import duckdb
 import pytest
 
+from quern.operators import blend as B
 from quern.operators import samples as S
 from quern.plans import registry
 
@@ -48,3 +49,22 @@ def test_pair_groups(sizes):
     got = S.pair_groups(s, 128)
     assert [w for g in got for p in g for w in p] == list(range(sum(sizes)))
     assert all(len(g) > 1 and all(g) and sum(map(len, g)) <= 128 for g in got)
+
+
+@pytest.mark.parametrize("exhaustive", [False, True])
+def test_blend_in_ranges(spark, exhaustive):
+    """Ranges made apart are the picks of one walk."""
+    sizes = [5, 300, 9, 41, 1, 77, 2]
+    count, want = [0] * 7, []
+    for i in range(sum(sizes)):
+        k = max((j for j in range(7) if not exhaustive or count[j] < sizes[j]), key=lambda j: (sizes[j] / sum(sizes) * max(i, 1) - count[j], -j))
+        want.append((i, k, count[k]))
+        count[k] += 1
+    assert sorted(map(tuple, B.blend_ranges(spark, sizes, exhaustive, step=50).collect())) == want
+
+
+def test_blends_have_every_source(spark, sf):
+    n = sorted(duckdb.execute(f"select count(*) from '{sf}/documents.parquet' group by source").fetchall())
+    got = registry.QUERIES["B4_exhaustive_blend_all"](spark, sf).groupBy("dataset").count().collect()
+    assert len(n) > 5 and sorted((r["count"],) for r in got) == n
+    assert registry.QUERIES["B3_greedy_blend_all"](spark, sf).select("dataset").distinct().count() == len(n)
