@@ -83,7 +83,7 @@ QUERIES = {
     "S7_sentinel_splice": lambda s, d: docs(s, d).select("doc_id", F.array_join(S.spliced(F.array("lang", "source"), F.array((F.col("doc_id") % 3).cast("int"), F.lit(2))), ",").alias("s")),
     "S10_rate_spaced": lambda s, d: docs(s, d).select("doc_id", F.size(S.rate_spaced(F.col("doc_id") % 50 + 0.5, 2, 25, F.lit(700))).alias("n")),
     "S11_frame_times": lambda s, d: docs(s, d).select("doc_id", F.array_max(S.frame_times(F.array((F.col("doc_id") % 9).cast("int"), F.lit(3)), 2.0)).alias("last")),
-    "S13_patch_grid": lambda s, d: docs(s, d).where("doc_id < 50").select("doc_id", F.md5(F.array_join(F.transform(S.patch_grid(F.lit(2), ((F.col("doc_id") % 3 + 1) * 2).cast("int"), ((F.col("doc_id") % 2 + 1) * 2).cast("int")), lambda p: F.concat_ws(".", p["t"].cast("string"), p["h"].cast("string"), p["w"].cast("string"))), " ")).alias("g")),
+    "S13_patch_grid": lambda s, d: docs(s, d).select("doc_id", F.md5(F.array_join(F.transform(S.patch_grid(F.lit(2), ((F.col("doc_id") % 3 + 1) * 2).cast("int"), ((F.col("doc_id") % 2 + 1) * 2).cast("int")), lambda p: F.concat_ws(".", p["t"].cast("string"), p["h"].cast("string"), p["w"].cast("string"))), " ")).alias("g")),
     "T1_sentence_split": lambda s, d: docs(s, d).select("doc_id", F.size(X.sentences(F.col("text"))).alias("n"), F.md5(F.array_join(X.sentences(F.col("text")), "|")).alias("s")),
     "V2_top_k_reversed": lambda s, d: _neigh(s, d).where("rank <= 10").select("query_id", "vec_id", (11 - F.col("rank")).alias("place")),
     "V3_merged_shards": lambda s, d: V.merged_shards(table(s, d, "embeddings").where("vec_id % 2 = 0"), table(s, d, "embeddings").where("vec_id % 2 = 1")).select("vec_id", "label"),

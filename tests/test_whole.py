@@ -1,5 +1,6 @@
 """Queries without SQL, over whole tables, against plain Python."""
 
+import hashlib
 import re
 
 import duckdb
@@ -68,3 +69,13 @@ def test_blends_have_every_source(spark, sf):
     got = registry.QUERIES["B4_exhaustive_blend_all"](spark, sf).groupBy("dataset").count().collect()
     assert len(n) > 5 and sorted((r["count"],) for r in got) == n
     assert registry.QUERIES["B3_greedy_blend_all"](spark, sf).select("dataset").distinct().count() == len(n)
+
+
+def test_patch_grid_of_every_document(spark, sf):
+    """Patches of two frames in 2 x 2 blocks."""
+
+    def grid(h, w):
+        return [(t, y + b, x + a) for t in range(2) for y in range(0, h, 2) for x in range(0, w, 2) for b in range(2) for a in range(2)]
+
+    want = {i: hashlib.md5(" ".join(".".join(map(str, p)) for p in grid((i % 3 + 1) * 2, (i % 2 + 1) * 2)).encode()).hexdigest() for i in texts(sf)}
+    assert len(want) > 50 and dict(map(tuple, registry.QUERIES["S13_patch_grid"](spark, sf).collect())) == want
