@@ -47,9 +47,16 @@ def turns(s, d):
     return q.join(c.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("i"), F.md5("text").alias("a")), ["conv_id", "i"])
 
 
-def _pairs(s, d):
-    a = docs(s, d).select("doc_id", words(F.col("text")).alias("k"))
-    return a.select("doc_id", F.slice("k", 1, 40).alias("k"), F.concat(F.slice("k", 1, 34), F.transform(F.sequence(F.lit(1), (F.col("doc_id") % 30 + 1).cast("int")), lambda i: F.concat(F.lit("zz"), i.cast("string")))).alias("r")).where("size(k) = 40")
+def _overlaps(s, d):
+    """The whole text is the knowledge; the response is the same with 1 to 30 fortieths of its length in foreign words behind it."""
+
+    def row(r):
+        k = list(r.k)
+        response = k + [f"zz{i}" for i in range(1, -(-len(k) * (r.doc_id % 30 + 1) // 40) + 1)]
+        n = S.overlap_in_runs(response, k)
+        return [(r.doc_id, n, S.overlap_kept(n, len(response), len(k)))]
+
+    return S.per_row(docs(s, d).select("doc_id", words(F.coalesce("text", F.lit(""))).alias("k")), row, "doc_id long, overlap int, kept boolean")
 
 
 def _shots(s, d):
@@ -86,7 +93,7 @@ QUERIES = {
     "B10_repeat": lambda s, d: S.repeated(docs(s, d).select("doc_id"), (F.col("doc_id") % 3 + 1).cast("int")),
     "X8_random_round": lambda s, d: S.random_round(turns(s, d), "conv_id"),
     "X17_few_shot": _shots,
-    "X18_overlap_filter": lambda s, d: _pairs(s, d).select("doc_id", S.overlap_in_runs(F.col("r"), F.col("k")).alias("overlap"), S.overlap_kept(F.col("r"), F.col("k")).alias("kept")),
+    "X18_overlap_filter": _overlaps,
 }
 
 ORACLES = {

@@ -79,3 +79,22 @@ def test_patch_grid_of_every_document(spark, sf):
 
     want = {i: hashlib.md5(" ".join(".".join(map(str, p)) for p in grid((i % 3 + 1) * 2, (i % 2 + 1) * 2)).encode()).hexdigest() for i in texts(sf)}
     assert len(want) > 50 and dict(map(tuple, registry.QUERIES["S13_patch_grid"](spark, sf).collect())) == want
+
+
+def test_overlap_of_whole_texts(spark, sf):
+    """Every document has a row; all its words count if there are ten or more."""
+    want = {}
+    for i, t in texts(sf).items():
+        n = len(words(t))
+        size = n + -(-n * (i % 30 + 1) // 40)
+        overlap = n if n >= 10 else 0
+        want[i] = (overlap, overlap > 0 and size * 0.6 <= overlap <= size * 0.9)
+    got = {r.doc_id: (r.overlap, r.kept) for r in registry.QUERIES["X18_overlap_filter"](spark, sf).collect()}
+    assert got == want and {k for _, k in got.values()} == {False, True} and max(n for n, _ in got.values()) > 40
+
+
+def test_overlap_in_runs():
+    know = [f"k{i}" for i in range(100)]
+    assert S.overlap_in_runs(know[:9] + ["x"] + know[:10] + ["x"] + know[50:90], know) == 50
+    assert S.overlap_in_runs(know[:9], know) == 0 and S.overlap_in_runs([], []) == 0
+    assert [S.overlap_kept(*x) for x in ((85, 100, 100), (79, 100, 100), (59, 100, 60), (91, 100, 100), (0, 0, 0), (90, 100, 100), (60, 100, 75))] == [True, False, False, False, False, True, True]
