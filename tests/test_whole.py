@@ -98,3 +98,20 @@ def test_overlap_in_runs():
     assert S.overlap_in_runs(know[:9] + ["x"] + know[:10] + ["x"] + know[50:90], know) == 50
     assert S.overlap_in_runs(know[:9], know) == 0 and S.overlap_in_runs([], []) == 0
     assert [S.overlap_kept(*x) for x in ((85, 100, 100), (79, 100, 100), (59, 100, 60), (91, 100, 100), (0, 0, 0), (90, 100, 100), (60, 100, 75))] == [True, False, False, False, False, True, True]
+
+
+def test_few_shot_beyond_one_block(spark):
+    """More queries than a block holds; topic 9 is unknown."""
+    q = [(i, 9 if i % 500 == 0 else i % 3, [float(i % 7), 1.0]) for i in range(10_001)]
+    e = [(j, j % 3, [float(j * j % 11), float(j % 5)]) for j in range(40)]
+    score = lambda v, x: v[0] * x[0] + v[1] * x[1]
+    want = set()
+    for i, topic, v in q:
+        if topic == 9:
+            best = [min((-score(v, x), j) for j, t, x in e if t == c) for c in range(3)]
+            want |= {(i, p, j) for p, (_, j) in enumerate(sorted((-s, j) for s, j in best), 1)}
+        else:
+            best = sorted((-score(v, x), j) for j, t, x in e if t == topic)[:10]
+            want |= {(i, 11 - p, j) for p, (_, j) in enumerate(best, 1)}
+    a, b = spark.createDataFrame(q, "q long, topic int, qv array<double>"), spark.createDataFrame(e, "e long, topic int, v array<double>")
+    assert set(map(tuple, S.few_shot(a, b).collect())) == want
