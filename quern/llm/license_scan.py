@@ -5,8 +5,11 @@ regression over licence families and "none" is trained here on notices with word
 at most NEGATIVES lines of the corpus. The logits are divided by a temperature fitted on held-out variants, and the
 score that a licence needs is set above all but a NOISE share of held-out plain lines, so a paragraph whose best
 family stays below it is "none" or, if licence families together are likely, "unknown". Each prediction is then
-compared with the family's templates (share of a template's word pairs found); one that no template confirms is
-"unknown" if it holds two word pairs of any template at all, and nothing otherwise.
+compared with the family's templates (share of a template's word pairs found). So is every other family, which must
+also have as much of the word pairs that its template shares with no other family, so a paragraph may name several. A
+paragraph of a lower score, as a short notice inside a long one has, names a family for a SURE share of both. A likely
+one in which no template confirms any family is "unknown" if it holds two word pairs of any template at all, and nothing
+otherwise.
 
 Edge cases: null, empty and wordless texts have no licence; a text of any length is scanned whole; several families
 are all listed, sorted; repeated rows count each; other columns are ignored.
@@ -26,7 +29,7 @@ from .common import BYTE_LOWER, U, arrow_map, drawn, mix, span_hashes, text_chun
 from .license_texts import TEMPLATES
 
 FAMILIES = ("none", *TEMPLATES)
-BUCKETS, HALF, NEGATIVES, NOISE, CONFIRMED = 1 << 14, 32, 4_000, 0.0005, 0.5
+BUCKETS, HALF, NEGATIVES, NOISE, CONFIRMED, SURE = 1 << 14, 32, 4_000, 0.0005, 0.5, 0.75
 _APART = np.ones(256, bool)
 for _r in ((48, 58), (65, 91), (97, 123), (128, 256)):
     _APART[slice(*_r)] = False
@@ -98,6 +101,24 @@ def confirmed(family: str, h: np.ndarray) -> bool:
     return any(len(t & have) >= CONFIRMED * min(len(t), max(3, len(have))) for t in _template_pairs()[family])
 
 
+@lru_cache(maxsize=1)
+def _own_pairs() -> dict[str, list[tuple[frozenset[int], frozenset[int]]]]:
+    """Each template's word pairs, and those of them that no other family has."""
+    found = _template_pairs()
+    others = {k: frozenset().union(*(t for f, v in found.items() if f != k for t in v)) for k in found}
+    return {k: [(t, t - others[k]) for t in v] for k, v in found.items()}
+
+
+@lru_cache(maxsize=1)
+def _all_own() -> np.ndarray:
+    return np.array(sorted({x for v in _own_pairs().values() for _, own in v for x in own}), U)
+
+
+def named(family: str, have: set[int], share: float = CONFIRMED) -> bool:
+    """Whether a template has `share` of its word pairs among the tokens', and as much of those of its family alone."""
+    return any(own and len(own & have) >= share * len(own) and len(t & have) >= share * len(t) for t, own in _own_pairs()[family])
+
+
 def _any_confirmed(text: str) -> bool:
     h = _tokens(text)
     return not _all_pairs().isdisjoint(mix(h[:-1] * U(3) + h[1:]).tolist()) and any(confirmed(f, h) for f in TEMPLATES)
@@ -106,23 +127,32 @@ def _any_confirmed(text: str) -> bool:
 def scan(model: dict, data: np.ndarray, offs: np.ndarray) -> list[dict[str, float]]:
     """For each text the licences found, with the best probability of each."""
     out: list[dict[str, float]] = [{} for _ in range(len(offs) - 1)]
-    p, (starts, _, h, half, _) = probabilities(model, data, offs)
+    p, (starts, _, h, half, line) = probabilities(model, data, offs)
     if not len(p):
         return out
-    hits = np.flatnonzero(1 - p[:, 0] >= model["needs"])
+    likely = 1 - p[:, 0] >= model["needs"]
+    pairs = np.isin(mix(h[:-1] * U(3) + h[1:]), _all_own())
+    holds = np.bincount(half[:-1][pairs], minlength=len(p)) > 0
+    more = np.append(line[1:] == line[:-1], False)
+    holds[:-1] |= holds[1:] & more[:-1]
+    hits = np.flatnonzero(likely | holds)
     first = np.searchsorted(half, np.arange(len(p) + 2))
     doc = np.searchsorted(offs, starts[first[hits]], "right") - 1
     for i, d in zip(hits.tolist(), doc.tolist(), strict=True):
+        own = h[first[i] : first[i + 1 + int(more[i])]]
+        have = set(mix(own[:-1] * U(3) + own[1:]).tolist())
         best = int(np.argmax(p[i, 1:])) + 1
-        own = h[first[i] : first[i + 2]]
-        name = FAMILIES[best] if confirmed(FAMILIES[best], own) else "unknown"
-        if name == "unknown" and len(set(mix(own[:-1] * U(3) + own[1:]).tolist()) & _all_pairs()) < 2:
-            continue
-        out[d][name] = max(out[d].get(name, 0.0), float(1 - p[i, 0] if name == "unknown" else p[i, best]))
+        names = [k for k in range(1, len(FAMILIES)) if named(FAMILIES[k], have, CONFIRMED if likely[i] else SURE)]
+        if likely[i] and best not in names and confirmed(FAMILIES[best], own):
+            names.append(best)
+        for k in names:
+            out[d][FAMILIES[k]] = max(out[d].get(FAMILIES[k], 0.0), float(p[i, k]))
+        if likely[i] and not names and len(have & _all_pairs()) >= 2:
+            out[d]["unknown"] = max(out[d].get("unknown", 0.0), float(1 - p[i, 0]))
     return out
 
 
-def _variants(rng: np.random.Generator, filler: list[str], each: int) -> tuple[list[str], list[int]]:
+def _variants(rng: np.random.Generator, filler: list[str], lines: list[str], each: int) -> tuple[list[str], list[int]]:
     texts, y = [], []
     for k, fam in enumerate(TEMPLATES, 1):
         for t in TEMPLATES[fam]:
@@ -137,16 +167,42 @@ def _variants(rng: np.random.Generator, filler: list[str], each: int) -> tuple[l
                 text = " ".join(words)
                 texts.append(text.upper() if i % 5 == 4 else text)
                 y.append(k)
+            for i in range(each // 2):  # inside a full window, every second time with another licence
+                words, also = t.split(), 0
+                if i % 2:
+                    also = int(rng.integers(1, len(FAMILIES)))
+                    words += ["or", *str(rng.choice(TEMPLATES[FAMILIES[also]])).split()]
+                around = lines[rng.integers(len(lines))].split() if lines else rng.choice(filler, 2 * HALF).tolist()
+                around = around[: max(0, 2 * HALF - len(words))]
+                at = int(rng.integers(len(around) + 1))
+                text = " ".join([*around[:at], *words, *around[at:]])
+                texts += [text] * (1 + bool(also))
+                y += [k, also][: 1 + bool(also)]
     return texts, y
 
 
+def cut(line: str) -> list[str]:
+    """A line in pieces of HALF tokens."""
+    raw = line.encode()
+    s, e, _ = word_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), _APART)
+    at = [0, *s[HALF::HALF].tolist(), len(raw)]
+    return [raw[a:b].decode() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def plain_windows(line: str) -> list[str]:
+    """The windows of a line but those that share tokens with a confirmed one."""
+    h = [*cut(line), ""]
+    bad = [_any_confirmed(a + b) for a, b in zip(h[:-1], h[1:], strict=True)]
+    return [h[i] + h[i + 1] for i in range(0, len(h) - 1, 2) if not any(bad[max(0, i - 1) : i + 2])]
+
+
 def train(lines: list[str], seed: int = 5, each: int = 12, steps: int = 150) -> dict:
     """The model from plain corpus lines and the templates."""
     rng = np.random.default_rng(seed)
-    lines = [x for x in lines if not _any_confirmed(x)]
+    lines = [x for line in lines for x in plain_windows(line)]
     plain = "the of and to in a is that for it as was with be by on this are from or not have an which at but all were can has more one about use file text work book page terms version free software source code license public general copy rights reserved".split()
     filler = sorted({w for x in lines[:500] for w in x.split()[:10]} | set(plain))
-    pos, y = _variants(rng, filler, each)
+    pos, y = _variants(rng, filler, lines, each)
     noise = [" ".join(rng.choice(plain, rng.integers(1, 25))) for _ in range(600)]
     texts, y = pos + lines + noise, np.array(y + [0] * (len(lines) + len(noise)))
     raw = [t.replace("\n", " ").encode() for t in texts]
@@ -209,7 +265,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, nega
     """The model; its plain lines are the middle ones of at most `negatives` documents, those with the smallest digests."""
     line = F.expr(f"split(`{text_col}`, '\\n', -1)")
     middle = F.element_at(line, F.greatest(F.lit(1), (F.size(line) / 2).cast("int")))
-    got = drawn(docs.select(F.col(id_col).alias("id"), F.substring(middle, 1, 400).alias("x")), negatives).collect()
+    got = drawn(docs.select(F.col(id_col).alias("id"), middle.alias("x")), negatives).collect()
     return train(sorted(r.x for r in got if r.x and r.x.strip()))
 
 
