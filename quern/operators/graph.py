@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 from ..session import stage
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def _state(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id in edges(a, b); component is the smallest id reachable.
 
     Every round is two aggregations (pre-summed before their shuffle, so a hub with many neighbours is no hot key)
-    and two joins; rounds grow with the logarithm of the longest path. Each round is a staged table.
+    and two joins; rounds grow with the logarithm of the longest path and go on until nothing changes. Each round is a
+    staged table.
     """
     e = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    for _ in range(max_rounds if before[0] else 0):
+    before, now = None, _state(e)
+    while now[0] and now != before:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -25,11 +30,5 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).union(low.select("u", F.col("m").alias("v")))
         e = stage(small.distinct(), "edges")
-        now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
-    else:
-        if before[0]:
-            raise RuntimeError("components did not settle")
+        before, now = now, _state(e)
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
