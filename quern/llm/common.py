@@ -42,6 +42,41 @@ def drawn(df: DataFrame, most: int, id_col: str = "id", *ties: str) -> DataFrame
     return df.orderBy(digest, id_col, *ties).limit(most)
 
 
+# Rows and keys
+
+#: Keys that hold more than a HEAVY-th of all rows are taken apart in joins; there are fewer than HEAVY of them.
+HEAVY = 10_000
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or it with underscores behind, such that df has no such column (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_digest(df: DataFrame) -> F.Column:
+    """A 64-bit digest of a whole row; maps have no order and go in as JSON."""
+    plain = [F.to_json(F.col(f"`{f.name}`")) if f.dataType.simpleString().startswith("map") else F.col(f"`{f.name}`") for f in df.schema.fields]
+    return F.xxhash64(F.lit(len(plain)), *plain)
+
+
+def join_counted(rows: DataFrame, facts: DataFrame, keys: list[str], count: str, total: int, how: str = "inner") -> DataFrame:
+    """rows joined with facts (one row for each key; `count` says how many rows have it, `total` how many there are).
+
+    A key that more than a HEAVY-th of all rows have would make one task too large. Fewer than HEAVY keys can be like
+    that, so theirs are broadcast, a proven bound, and only the rows of the other keys are shuffled. HEAVY facts or
+    fewer are broadcast as they are. facts is read several times and best a staged table.
+    """
+    if facts.count() <= HEAVY:
+        return rows.join(F.broadcast(facts), keys, how)
+    marked = facts.withColumn("_heavy", F.col(count) * HEAVY > total)
+    heavy = F.broadcast(marked.where("_heavy"))
+    light = rows.join(F.broadcast(marked.where("_heavy").select(*keys)), keys, "left_anti").join(marked.where("not _heavy"), keys, how)
+    return rows.join(heavy, keys).unionByName(light).drop("_heavy")
+
+
 # Arrow strings as one byte array
 
 
@@ -143,4 +178,4 @@ def word_spans(data: np.ndarray, offs: np.ndarray, apart: np.ndarray = IS_SPACE)
     return starts, ends, np.searchsorted(starts, offs)
 
 
-__all__ = ["BYTE", "BYTE_LOWER", "CHUNK_BYTES", "IS_SPACE", "SPACES", "U", "WORD", "arrow_map", "ascii_lower", "drawn", "mix", "seeds", "span_hashes", "stage", "text_chunks", "word_spans"]
+__all__ = ["BYTE", "BYTE_LOWER", "CHUNK_BYTES", "HEAVY", "IS_SPACE", "SPACES", "U", "WORD", "arrow_map", "ascii_lower", "drawn", "fresh", "join_counted", "mix", "row_digest", "seeds", "span_hashes", "stage", "text_chunks", "word_spans"]
