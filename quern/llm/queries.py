@@ -28,7 +28,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = source_mix.queue_order(source_mix.fair_queue(table(spark, sf_dir, "documents")))
+    got = source_mix.fair_queue(table(spark, sf_dir, "documents"))
     return got.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
@@ -100,9 +100,14 @@ s as (select source, sum(size)::bigint as source_size from d group by source),
 n as (select *, ((row_number() over (order by source nulls last) - 1) % 3 + 1)::double as w, row_number() over (order by source nulls last) as nr, sum(source_size) over ()::bigint as budget from s),
 l as (select *, 3.0::double * source_size as most, 3.0::double * source_size / w as level from n),
 r as (select *, (budget - coalesce(sum(most) over (order by level, nr rows between unbounded preceding and 1 preceding), 0)) / sum(w) over (order by level, nr rows between current row and unbounded following) as rate from l),
-t as (select source, source_size, least(most, w * max(case when rate <= level then rate end) over ()) as target from r),
-q as (select d.*, source_size, target, coalesce(sum(size) over (partition by d.source order by md5('1:' || doc_id), doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint as start from d join t on d.source is not distinct from t.source)
-select doc_id, size, source_size, target, (greatest(0, least(size, round(target)::bigint - start)) + greatest(0, least(size, round(target)::bigint - start - source_size)) + greatest(0, least(size, round(target)::bigint - start - 2 * source_size)))::bigint as taken from q""",
+t as (select source, source_size, budget, nr, least(most, w * max(case when rate <= level then rate end) over ()) as target from r),
+q as (select d.*, source_size, target, budget, nr, coalesce(sum(size) over (partition by d.source order by md5('1:' || doc_id), doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint as start, row_number() over () as i from d join t on d.source is not distinct from t.source),
+c as (select i, nr, size, target, budget, start + r * source_size as start from q, (select unnest([0, 1, 2]) as r) where size > 0 and start + r * source_size < target),
+w as (select *, case when start + size <= target then size else ceil(size / 1024.0::double)::bigint end as width from c),
+e as (select i, nr, target, budget, start + k as start, least(width, size - k) as words from (select *, unnest(range(0, size, width)) as k from w) where start + k < target),
+f as (select *, coalesce(sum(words) over (order by (start + words)::double * budget / target, nr, start rows between unbounded preceding and 1 preceding), 0)::bigint as served from e),
+x as (select i, sum(greatest(0, least(words, budget - served)))::bigint as taken from f group by i)
+select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken from q left join x using (i)""",
     "op5_chat_formatting": f"""with c as (select *, string_agg({_PIECE.format('role')} || '|' || {_PIECE.format('text')}, ';') over w as p, row_number() over w as k, count(*) over (partition by conv_id) as n from conversations where conv_id is not null window w as (partition by conv_id order by turn, role, text rows unbounded preceding)),
 f as (select p, min(conv_id) as conv_id from c where k = n and p not in (select p from c where k < n) group by p)
 select conv_id, count(*) as n_turns, string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' order by turn, role, text) as text from conversations where conv_id in (select conv_id from f) group by conv_id""",

@@ -1,18 +1,20 @@
 """Mixing sources to target weights (operator 3) by weighted fair queueing, in DataFrame operations only.
 
-A source's documents are queued in shuffled order (by digest of seed and id), up to `cap` times over. A document's
-virtual finish time is the words its source has queued up to and with it, divided by the source's share of the mix;
-the mix is the queue of all sources in order of finish time, cut where the virtual clock reaches the total budget. At
-that moment a fluid fair queue has served every source exactly its target, so the document in service is cut at that
-word. Targets are the weights' shares of the budget; what a source could not fill with `cap` times its words goes to
-the others by weight.
-
-Running sums never gather a source in one task: documents fall into 4096 slices by digest, each slice is summed
-first, and the sums of (source, slice) are what runs over a whole source.
+A source's documents are queued in shuffled order (by digest of seed and id), up to `cap` times over. Every copy is an
+entry with a virtual finish time: the words its source has queued up to and with it, divided by the source's share of
+the mix. The entries of all sources are dealt out and sorted by finish time as one table, their words are summed in
+that order, and the mix is cut where the sum reaches the total budget. The copy of a source in service when its target
+is reached is queued in packets (at most PACKETS), each an entry of its own, so the cut falls inside a document and
+every source comes within a packet of its target. Targets are the weights' shares of the budget; what a source could
+not fill with `cap` times its words goes to the others by weight. Entries that begin behind their source's target are
+not made: those before it hold the whole budget.
+
+Row numbers and sums over sources, documents and entries are those of `operators.ordinal.running`: rows are dealt out
+by range, ranges are summed, and the sums of the ranges before are added. So no source is gathered in a task.
 
 Edge cases: a null text has no words; a source that is null is a source, last in order; no words at all give targets
-of 0; ties of the digest go by id, and repeated rows are queued each; other columns are ignored; a lost task or a
-second run gives the same mix.
+of 0; ties of the digest go by row digest; repeated rows are queued each; null ids are shuffled by row digest; other
+columns, whatever their names, are kept by `mixed_documents`; a lost task or a second run gives the same mix.
 """
 
 from __future__ import annotations
@@ -22,69 +24,88 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, stage
+from ..operators.ordinal import running
+from ..session import shuffle_partitions
+from .common import WORD, fresh, join_counted, row_digest, stage
+
+#: Packets of the copy that is in service when its source has its target.
+PACKETS = 1024
+
+#: Copies of rows alike in every column are made so many at a time.
+BLOCK = 1_000
+
 
+def source_targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: int = 3) -> DataFrame:
+    """(source, source_size, docs, nr, before, target, budget) from (source, source_size, docs).
 
-def source_targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: float = 3) -> DataFrame:
-    """(source, source_size, weight, target, budget) from (source, source_size). One row per source throughout."""
+    nr: the source's place; before: words of the sources before it. The level is where the water stands: sources whose
+    cap lies below it are full, the others hold their weight's share.
+    """
     w = F.array(*[F.lit(float(x)) for x in weights])
-    t = sizes.selectExpr("source", "source_size", "row_number() over (order by source asc nulls last) as nr", "sum(source_size) over () as budget")
-    t = t.withColumn("weight", F.get(w, (F.col("nr") - 1) % len(weights)))
-    t = t.withColumns({"most": F.lit(float(cap)) * F.col("source_size"), "level": F.lit(float(cap)) * F.col("source_size") / F.col("weight")})
-    t = t.selectExpr(
-        "*",
-        "coalesce(sum(most) over (order by level, nr rows between unbounded preceding and 1 preceding), 0d) as full_before",
-        "sum(weight) over (order by level, nr rows between current row and unbounded following) as weight_left",
-    )
-    t = t.withColumn("rate", (F.col("budget") - F.col("full_before")) / F.col("weight_left"))
-    t = t.selectExpr("*", "max(case when rate <= level then rate end) over () as lambda_")
-    return t.select("source", "source_size", "weight", F.least("most", F.coalesce("lambda_", "rate") * F.col("weight")).alias("target"), "budget")
-
-
-def fair_queue(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", *, weights: Sequence[float] = (1, 2, 3), cap: int = 3, seed: int = 1, extra: Sequence[str] = ()) -> DataFrame:
-    """(id, source, size, source_size, target, start, finish, taken[, extra]) of every row of docs.
-
-    start: words queued before the row in its source's first round; finish: virtual time at which its first copy is
-    through; taken: words of the row in the mix, repeats counted.
+    t = running(sizes.withColumn("none", F.col("source").isNull()), ["none", "source"], {"before": "source_size"}, "nr").drop("none")
+    t = stage(t.withColumn("weight", F.get(w, F.col("nr") % len(weights))).withColumn("most", F.lit(cap) * F.col("source_size")).withColumn("level", F.col("most") / F.col("weight")), "sources")
+    budget, all_weights = t.agg(F.sum("source_size"), F.sum("weight")).first()
+    t = running(t, ["level", "nr"], {"full_before": "most", "weight_before": "weight"}, None)
+    t = stage(t.withColumn("rate", (F.lit(budget).cast("long") - F.col("full_before")) / (F.lit(all_weights) - F.col("weight_before"))), "rates")
+    water = t.where("rate <= level").agg(F.max("rate")).first()[0]
+    share = F.lit(float(water)) * F.col("weight") if water is not None else F.col("most").cast("double")
+    return t.select("source", "source_size", "docs", "nr", "before", F.least(F.col("most").cast("double"), share).alias("target"), F.lit(budget).cast("long").alias("budget"))
+
+
+def fair_queue(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", *, weights: Sequence[float] = (1, 2, 3), cap: int = 3, seed: int = 1) -> DataFrame:
+    """(id, source, rd, size, source_size, target, taken) of every row of docs.
+
+    taken: words of the row in the mix, repeats counted; rd: digest of the whole row.
     """
-    size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    items = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), *extra)
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("null"))))
-    items = stage(items.withColumn("digest", digest).withColumn("slice", F.substring("digest", 1, 3)), "items")
-    sums = stage(items.groupBy("source", "slice").agg(F.sum("size").alias("slice_size")), "slices")
-    targets = stage(source_targets(sums.groupBy("source").agg(F.sum("slice_size").alias("source_size")), weights, cap), "targets")
-    ahead = sums.selectExpr("source", "slice", "coalesce(sum(slice_size) over (partition by source order by slice rows between unbounded preceding and 1 preceding), 0) as ahead")
-    plan = ahead.join(targets, ahead["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    plan = plan.select(F.col("source").alias("s"), F.col("slice").alias("sl"), "ahead", "source_size", "target", "budget")
-    inner = F.expr("coalesce(sum(size) over (partition by source, slice order by digest, id, size rows between unbounded preceding and 1 preceding), 0)")
-    q = items.withColumn("inner", inner).join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("slice") == F.col("sl")))
-    q = q.withColumn("start", F.col("ahead") + F.col("inner"))
-    # virtual times: words / share, share = target / budget; the copy of round r starts r * source_size later
-    q = q.withColumn("finish", (F.col("start") + F.col("size")) * F.col("budget") / F.nullif(F.col("target"), F.lit(0.0)))
-    served = F.expr("cast(round(target) as bigint)")
-    rounds = [F.greatest(F.lit(0), F.least(F.col("size"), served - F.col("start") - F.lit(r) * F.col("source_size"))) for r in range(cap)]
-    q = q.withColumn("taken", sum(rounds[1:], rounds[0]).cast("long"))
-    return q.select("id", "source", "size", "source_size", "target", "start", "finish", "taken", *extra)
-
-
-def queue_order(queue: DataFrame) -> DataFrame:
-    """The queue dealt out and sorted by virtual finish time, over all sources."""
-    n = int(queue.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return queue.repartitionByRange(n, "finish", "id").sortWithinPartitions("finish", "id")
+    size = F.coalesce(F.regexp_count(F.col(f"`{text_col}`").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    items = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"), size.alias("size"), row_digest(docs).alias("rd"))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.concat(F.lit("null:"), F.col("rd").cast("string")))))
+    items = stage(items.select("*", digest.alias("digest"), F.monotonically_increasing_id().alias("row")), "items")
+    sizes = items.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
+    targets = stage(source_targets(stage(sizes, "sizes"), weights, cap), "targets")
+
+    # nulls are no join keys, so a source goes by its name with a mark before it
+    named = lambda df: df.withColumn("name", F.coalesce(F.concat(F.lit("+"), "source"), F.lit("-"))).drop("source")
+    told = join_counted(named(items), stage(named(targets), "targets"), ["name"], "docs", items.count())
+    told = running(told, ["nr", "digest", "id", "rd", "row"], {"words_before": "size"}, None)
+    told = stage(told.withColumn("start", F.col("words_before") - F.col("before")), "queued")
+
+    copies = told.withColumn("r", F.explode(F.expr(f"sequence(0, {cap - 1})"))).withColumn("start", F.col("start") + F.col("r") * F.col("source_size"))
+    copies = copies.where("size > 0 and start < target")
+    width = F.when(F.col("start") + F.col("size") <= F.col("target"), F.col("size")).otherwise(F.ceil(F.col("size") / PACKETS))
+    at = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.col("width")))
+    entries = copies.withColumn("width", width.cast("long")).select("row", "nr", "start", "size", "target", "budget", "width", at.alias("at"))
+    entries = entries.withColumn("words", F.least("width", F.col("size") - F.col("at"))).where("start + at < target")
+    finish = (F.col("start") + F.col("at") + F.col("words")).cast("double") * F.col("budget") / F.col("target")
+    queue = entries.select("row", "nr", "words", "budget", (F.col("start") + F.col("at")).alias("start"), finish.alias("finish"))
+    queue = running(queue, ["finish", "nr", "start"], {"served": "words"}, None)
+    taken = queue.select("row", F.greatest(F.lit(0), F.least(F.col("words"), F.col("budget") - F.col("served"))).alias("taken")).groupBy("row").agg(F.sum("taken").alias("taken"))
+    out = told.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+    return out.select("id", F.when(F.col("name") != "-", F.substring("name", 2, 1 << 30)).alias("source"), "rd", "size", "source_size", "target", "taken")
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
     """docs as often as the mix takes them, a row for each copy; the copy in service at the cut is cut at that word.
 
-    Columns are those of docs. Rows that are alike in id, source and text are told apart by their number among them.
+    Columns are those of docs. Rows that are alike in every column share what they are taken.
     """
-    text = F.col(text_col).cast("string")
-    numbered = docs.withColumn("_same", F.xxhash64(F.col(source_col).cast("string"), text)).withColumn("_nr", F.expr(f"row_number() over (partition by `{id_col}` order by _same)"))
-    q = fair_queue(numbered, id_col, source_col, text_col, extra=("_nr",), **how).where("taken > 0")
-    q = q.select(F.col("id").alias("_i"), F.col("_nr").alias("_n"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    both = numbered.join(q, F.col(id_col).eqNullSafe(F.col("_i")) & (F.col("_nr") == F.col("_n")))
-    copies = both.withColumn("_left", F.explode(F.expr("transform(sequence(0L, (_taken - 1) div _size), i -> least(_size, _taken - i * _size))")))
+    q = fair_queue(docs, id_col, source_col, text_col, **how).where("taken > 0")
+    key, size, full, part, block, left = (fresh(docs, f"_{x}") for x in ("key", "size", "full", "part", "block", "left"))
+    of = lambda i, d: F.struct(F.coalesce(i.cast("string"), F.lit("")), d)
+    # only the copy at its source's cut is not whole
+    plan = q.groupBy(of(F.col("id"), F.col("rd")).alias(key)).agg(F.max("size").alias(size), F.sum(F.expr("taken div size")).alias(full), F.max(F.expr("taken % size")).alias(part), F.count(F.lit(1)).alias("same"))
+    plan = stage(plan, "plan")
+    keyed = docs.withColumn(key, of(F.col(f"`{id_col}`"), row_digest(docs)))
+    took = keyed.join(plan.where("same = 1").drop("same"), key).drop(key)
+    many = plan.where("same > 1").drop("same")
+    if not many.isEmpty():  # of rows alike in every column one stands for all; its copies are dealt out in blocks
+        once = keyed.join(many.select(key), key, "left_semi").groupBy(key).agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in docs.columns])
+        blocks = once.join(many, key).drop(key).withColumn(block, F.explode(F.expr(f"sequence(0L, `{full}`, {BLOCK}L)")))
+        blocks = blocks.withColumn(part, F.when(F.col(block) == 0, F.col(part)).otherwise(0)).withColumn(full, F.least(F.lit(BLOCK), F.col(full) - F.col(block)))
+        took = took.unionByName(blocks.drop(block).repartition(shuffle_partitions(docs.sparkSession)))
+    copies = took.withColumn(left, F.explode(F.expr(f"concat(array_repeat(`{size}`, cast(`{full}` as int)), filter(array(`{part}`), x -> x > 0))")))
+    text = F.col(f"`{text_col}`").cast("string")
     pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_left").cast("int")), "")
-    out = copies.withColumn(text_col, F.when(F.col("_left") == F.col("_size"), F.col(text_col)).otherwise(cut))
-    return out.select(*docs.columns)
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col(left).cast("int")), "")
+    kept = F.when(F.col(left) == F.col(size), F.col(f"`{text_col}`")).otherwise(cut)
+    return copies.select(*[kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

@@ -72,12 +72,47 @@ def py_targets(sizes, weights=(1, 2, 3), cap=3):
         full |= over
 
 
+def py_queue(rows, target, cap=3, packets=1024):
+    """(size, source_size, taken) of each (id, source, text), by a queue of entries in plain Python."""
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    size = {i: words(t) for i, _, t in rows}
+    sizes = Counter()
+    for i, s, _ in rows:
+        sizes[s] += size[i]
+    budget, entries = sum(sizes.values()), []
+    for nr, s in enumerate(sorted(sizes, key=lambda s: (s is None, (s or "").encode()))):
+        at = 0
+        for _ in range(cap):
+            for i in sorted((i for i, x, _ in rows if x == s), key=lambda i: (hashlib.md5(f"1:{i}".encode()).hexdigest(), i)):
+                width = size[i] if at + size[i] <= target[s] else -(-size[i] // packets)
+                for k in range(0, size[i], max(width, 1)):
+                    if at + k < target[s]:
+                        n = min(width, size[i] - k)
+                        entries.append(((at + k + n) * budget / target[s], nr, at + k, i, n))
+                at += size[i]
+    taken, served = Counter(), 0
+    for _, _, _, i, n in sorted(entries):
+        taken[i] += max(0, min(n, budget - served))
+        served += n
+    return {i: (size[i], sizes[s], taken[i]) for i, s, _ in rows}
+
+
+def test_queue_of_copies(spark, sf):
+    """op3: every document's words against a queue in plain Python, on unique ids."""
+    for d in (odd_docs(spark).where("doc_id is not null"), table(spark, sf, "documents")):
+        rows = [(r.doc_id, r.source, r.text) for r in d.collect()]
+        got = fair_queue(d).collect()
+        want = py_queue(rows, {r.source: r.target for r in got})
+        assert {r.id: (r.size, r.source_size, r.taken) for r in got} == want and len(got) == len(rows)
+        assert sum(r.taken for r in got) == sum(r.size for r in got)
+
+
 def test_mix(spark, sf):
     for d in (odd_docs(spark), table(spark, sf, "documents")):
         rows, texts = fair_queue(d).collect(), d.select("doc_id", "source", "text").collect()
         words = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in texts}
         assert {r.id: r.size for r in rows} == words and len(rows) == len(texts)
-        sizes, taken = Counter(), Counter()
+        sizes, taken, longest = Counter(), Counter(), max(words.values())
         for r in rows:
             sizes[r.source] += r.size
             taken[r.source] += r.taken
@@ -86,7 +121,7 @@ def test_mix(spark, sf):
         for r in rows:
             assert r.source_size == sizes[r.source] and math.isclose(r.target, want[r.source], rel_tol=1e-9)
         for s in sizes:
-            assert abs(taken[s] - want[s]) <= 0.5
+            assert abs(taken[s] - want[s]) <= 1 + longest / 1024
         assert sorted(map(str, rows)) == sorted(map(str, fair_queue(d.orderBy(F.desc("doc_id"))).collect()))
         out = mixed_documents(d)
         assert out.columns == d.columns
@@ -94,9 +129,23 @@ def test_mix(spark, sf):
         for r in out.collect():
             got[r.source] += len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
         assert all(got[s] == taken[s] for s in sizes)
-    assert fair_queue(odd_docs(spark).limit(0)).count() == 0
+    assert fair_queue(odd_docs(spark).limit(0)).count() == 0 and mixed_documents(odd_docs(spark).limit(0)).count() == 0
+
+
+def test_mix_of_rows_alike(spark):
     same = docs(spark, [(1, "a b c", "a"), (1, "a b c", "a"), (2, "d e", "b")])
     assert sum(r.taken for r in fair_queue(same).collect()) == 8
+    many = docs(spark, [(1, f"a b {k // 40}", "a") for k in range(120)] + [(None, "d e f g", "b")] * 30 + [(3, "x y", None)])
+    many = many.withColumns({x: F.lit(1) for x in ("_size", "_n", "_i", "_key", "_full", "_part", "_left", "start", "taken")})
+    taken = Counter()
+    for r in fair_queue(many).collect():
+        taken[r.source] += r.taken
+    out = mixed_documents(many).collect()
+    assert all(len(r) == len(many.columns) for r in out)
+    got = Counter()
+    for r in out:
+        got[r.source] += len(r.text.split())
+    assert got == +taken and sum(got.values()) == 482
 
 
 def py_chats(rows):
