@@ -3,13 +3,15 @@
 Every line with a word is a position of the chain, good or bad. A position's features are measures of the line and of
 the lines before and after it; transitions have weights of their own. The model is trained here, on at most
 TRAIN_DOCS labelled documents (those with the smallest id digests), every line with its document's label, by
-gradient steps on the exact conditional likelihood. A document's score is the mean of its lines' forward-backward
+gradient steps on the exact conditional likelihood; of a long document a run of `lines` lines is the chain to learn
+from, with the neighbours that its ends have in the document. A document's score is the mean of its lines' forward-backward
 marginals of "good", weighted by length. Whole texts are scored, on their bytes, in one pass without a shuffle.
 
 Edge cases: null texts and texts without a word score the training documents' share of label 1 (0.5 without labels);
-null labels and labels of unknown documents are ignored; repeated labels count each; documents of any length are
-scored whole (training looks at a run of TRAIN_LINES lines of a document, at a place drawn from its id); other columns are never looked at; without
-two kinds of labels every score is that share.
+null labels and labels of unknown documents are ignored; repeated equal labels count once, labels that disagree each;
+of rows that share a labelled id the one with the least text digest is learned from; documents of any length are scored
+whole; other columns, whatever their names, are never looked at; without two kinds of labels every score is that share;
+an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -118,10 +120,14 @@ class Chains:
         return p[:, 1] / p.sum(axis=1), pairs, float(np.log(scale).sum() + top.sum())
 
 
-def train(f: np.ndarray, doc: np.ndarray, y: np.ndarray, steps: int = STEPS, decay: float = 1e-3) -> dict:
-    """Weights from lines' features, document numbers and labels: Adam on the conditional likelihood."""
-    mean, std = f.mean(axis=0), f.std(axis=0) + 1e-6
-    x = with_neighbours((f - mean) / std, doc)
+def train(f: np.ndarray, doc: np.ndarray, y: np.ndarray, inside: np.ndarray | None = None, steps: int = STEPS, decay: float = 1e-3) -> dict:
+    """Weights from lines' features, document numbers and labels: Adam on the conditional likelihood.
+
+    Lines that are not inside a run are neighbours of its ends and nothing else.
+    """
+    inside = np.ones(len(f), bool) if inside is None else inside
+    mean, std = f[inside].mean(axis=0), f[inside].std(axis=0) + 1e-6
+    x, doc, y = with_neighbours((f - mean) / std, doc)[inside], doc[inside], y[inside]
     chains = Chains(doc)
     inner = np.ones(len(doc), bool)
     inner[0] = False
@@ -157,41 +163,45 @@ def score(model: dict, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out
 
 
-def _run_starts(ids: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Where in documents of n lines the run of TRAIN_LINES lines begins that training looks at: by digest of the id."""
-    room = np.maximum(n - TRAIN_LINES, 0) + 1
+def _run_starts(ids: np.ndarray, n: np.ndarray, lines: int) -> np.ndarray:
+    """Where in documents of n lines the run of lines begins that training looks at: by digest of the id."""
+    room = np.maximum(n - lines, 0) + 1
     return (mix(ids.astype(np.int64).view(np.uint64) ^ U(0x51ED2701)) % room.astype(np.uint64)).astype(np.int64)
 
 
-def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _line_rows(batches: Iterator[pa.RecordBatch], lines: int) -> Iterator[pa.RecordBatch]:
+    """(id, y, first, n, f): features of a run of lines and of the lines right before and after it; the run is first .. first + n of them."""
     for b in batches:
         for lo, hi, data, offs in text_chunks(b, "text"):
             f, _, doc = line_features(data, offs)
             n = np.bincount(doc, minlength=hi - lo)
-            start = _run_starts(b.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False), n)
+            start = _run_starts(b.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False), n, lines)
             nth = np.arange(len(doc)) - np.searchsorted(doc, doc) - start[doc]
-            cut = (nth >= 0) & (nth < TRAIN_LINES)
+            cut = (nth >= -1) & (nth <= lines)
             f, doc = f[cut].astype(np.float32), doc[cut]
             at = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32) * N_OWN
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(at), pa.array(f.ravel()))], ["id", "y", "f"])
+            own = [b.column(k).slice(lo, hi - lo) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array((start > 0).astype(np.int32)), pa.array(np.minimum(n, lines).astype(np.int32)), pa.ListArray.from_arrays(pa.array(at), pa.array(f.ravel()))], ["id", "y", "first", "n", "f"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, where: str = "true", most: int = TRAIN_DOCS) -> dict:
-    """The model, from labels(doc_id, quality) for which `where` (on doc_id) holds; at most `most` documents."""
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, where: str = "true", most: int = TRAIN_DOCS, lines: int = TRAIN_LINES) -> dict:
+    """The model, from labels(doc_id, quality) for which `where` (on doc_id) holds; at most `most` labels, `lines` lines of each."""
     known = labels.where("quality in (0, 1) and doc_id is not null").where(where).select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("y"))
-    known = drawn(known, most, "id", "y")
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    both = src.join(F.broadcast(known), "id").select("id", "y", "text")
-    rows = arrow_map(both, _line_rows, "id long, y int, f array<float>").toPandas().sort_values(["id", "y"], kind="stable")
+    known = drawn(known.distinct(), most, "id", "y")
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    both = src.join(F.broadcast(known), "id").groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = arrow_map(both, partial(_line_rows, lines=lines), "id long, y int, first int, n int, f array<float>").toPandas().sort_values(["id", "y"], kind="stable")
     if not len(rows):
         return {"share": 0.5}
     share = float(rows["y"].mean())
-    n = rows["f"].map(len).to_numpy() // N_OWN
-    if share in (0.0, 1.0) or not n.sum():
+    size = rows["f"].map(len).to_numpy() // N_OWN
+    if share in (0.0, 1.0) or not size.sum():
         return {"share": share}
     f = np.concatenate([np.asarray(x, np.float64) for x in rows["f"]]).reshape(-1, N_OWN)
-    doc = np.repeat(np.arange(len(rows)), n)
-    return {"share": share} | train(f, doc, np.repeat(rows["y"].to_numpy(), n))
+    doc = np.repeat(np.arange(len(rows)), size)
+    nth = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    first, n = rows["first"].to_numpy()[doc], rows["n"].to_numpy()[doc]
+    return {"share": share} | train(f, doc, np.repeat(rows["y"].to_numpy(), size), (nth >= first) & (nth < first + n))
 
 
 def _scores(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.RecordBatch]:

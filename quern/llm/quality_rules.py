@@ -1,11 +1,13 @@
 """Quality rules with risk-controlled thresholds (operator 6), in DataFrame operations only.
 
 Measures are counted on whole texts. Fixed base rules reject first. Then each rule of RULES has a ladder of cutoffs,
-lenient to strict, fixed in advance; in every stratum (language) the labelled good documents tell how many a cutoff
-would reject falsely, k of n. A cutoff holds if the exact binomial bound shows a false-rejection rate below `risk`:
-P(Bin(n, risk) <= k) <= level, with the level shared among rules and strata (Bonferroni); along a ladder tests go in
-fixed order and stop at the first that fails, which needs no further correction. The strictest cutoff that holds is
-the rule's threshold there; without enough labels none holds and the rule rejects nothing.
+lenient to strict, fixed in advance. All rules go down their ladders together, in STEPS steps, and at each step the
+joint verdict (a document goes if any rule rejects it) is tested in every stratum (language): the labelled good
+documents tell how many it would reject falsely, k of n. A step holds if the exact binomial bound shows a
+false-rejection rate below `risk`: P(Bin(n, risk) <= k) <= level / strata. Steps are tested in order up to the first
+that fails, which needs no correction; the strata share the level (Bonferroni). So with probability 1 - level the
+rules together reject at most `risk` of the good documents of every stratum. Without enough labels no step holds and
+only the base rules reject. These are fixed by contract: good documents that fail them are left out of the bound.
 
 Edge cases: a null text has no words and fails the base rules; a null stratum is a stratum of its own; labels of
 unknown documents, null labels and other columns are ignored; repeated labels count each; without labels only the base
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import SPACES, stage
 
 SYMBOLS = "[#*$%&|<>]"
+#: Steps in which the ladders of all rules go from lenient to strict.
+STEPS = 10
 #: name, measure in thousandths (rejected above a cutoff), cutoffs from lenient to strict
 RULES: tuple[tuple[str, str, tuple[int, ...]], ...] = (
     ("symbols", "1000 * n_symbols / greatest(n_words, 1)", (2000, 1000, 700, 500, 300, 200, 150, 100, 70, 50)),
@@ -92,20 +96,29 @@ aggregate(sequence(0, k), named_struct('t', cast(0 as double), 'm', cast(-1e300
 """
 
 
+def ladder(cuts: tuple[int, ...]) -> list[float]:
+    """The cutoff of every step."""
+    return [float(cuts[s * len(cuts) // STEPS]) for s in range(STEPS)]
+
+
+def first_rejection(rules=RULES) -> F.Column:
+    """The first step at which any rule rejects, STEPS if none does."""
+    steps = [F.coalesce(F.array_position(F.array(*[F.expr(f"{e} > {c}D") for c in ladder(cuts)]), True), F.lit(0)) for _, e, cuts in rules]
+    return F.least(*[F.when(s > 0, s - 1).otherwise(STEPS) for s in steps], F.lit(STEPS)).cast("int")
+
+
 def thresholds(m: DataFrame, labels: DataFrame, risk: float = 0.02, level: float = 0.05, rules=RULES) -> DataFrame:
-    """(stratum, cut): for each rule, in order, the strictest cutoff that holds there, or null."""
+    """(stratum, step): the strictest step of the ladders that holds there; strata where none does have no row."""
     good = labels.where("quality = 1").select(F.col("doc_id").alias("id"))
-    seen = m.where("not base_failed").join(good, "id")
-    over = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(k).alias("step"), F.lit(float(c)).alias("cut"), F.expr(f"{e} > {c}").cast("int").alias("hit")) for r, (_, e, cuts) in enumerate(rules) for k, c in enumerate(cuts)])
-    tests = seen.select("stratum", F.inline(over)).groupBy("stratum", "rule", "step").agg(F.first("cut").alias("cut"), F.count(F.lit(1)).alias("n"), F.sum("hit").cast("int").alias("k"))
-    strata = tests.select("stratum").distinct().count()
-    # k counts of good documents: beyond the risk's own mean a cutoff can't hold, so the sum stays short
-    share = level / max(1, strata * len(rules))
-    ok = F.when(F.expr(f"k > n * {risk}"), F.lit(False)).otherwise(F.expr(_HOLDS.format(p=f"{risk}D", level=f"{share!r}D")))
-    tests = tests.withColumn("ok", ok)
-    walked = tests.selectExpr("*", "min(ok) over (partition by stratum, rule order by step) as held")
-    best = walked.where("held").groupBy("stratum", "rule").agg(F.min("cut").alias("cut"))
-    return best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cut"))).alias("cuts"))
+    seen = m.where("not base_failed").join(good, "id").withColumn("first", first_rejection(rules))
+    counts = seen.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("first") <= s).cast("int").alias(f"k{s}") for s in range(STEPS)])
+    counts = stage(counts, "strata")
+    share = level / max(1, counts.count())
+    # k counts of good documents: beyond the risk's own mean a step can't hold, so the sum stays short
+    ok = F.when(F.expr(f"k > n * {risk!r}D"), F.lit(False)).otherwise(F.expr(_HOLDS.format(p=f"{risk!r}D", level=f"{share!r}D")))
+    tests = counts.select("stratum", "n", F.inline(F.array(*[F.struct(F.lit(s).alias("step"), F.col(f"k{s}").alias("k")) for s in range(STEPS)]))).withColumn("ok", ok)
+    fails = F.coalesce(F.min(F.when(~F.col("ok"), F.col("step"))), F.lit(STEPS))
+    return tests.groupBy("stratum").agg((fails - 1).alias("step")).where("step >= 0")
 
 
 def base_failed() -> F.Column:
@@ -115,9 +128,10 @@ def base_failed() -> F.Column:
 def apply_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", *, risk: float = 0.02, level: float = 0.05, rules=RULES) -> DataFrame:
     """The measures of every row with base_failed, kept, and failed_rules (names)."""
     m = stage(measures(docs, id_col, text_col, stratum_col).withColumn("base_failed", base_failed()), "measures")
-    cuts = stage(thresholds(m, labels, risk, level, rules), "thresholds").select(F.col("stratum").alias("_s"), "cuts")
-    small = cuts.count() <= 10_000  # strata; one short map for each
-    got = m.join(F.broadcast(cuts) if small else cuts, F.col("stratum").eqNullSafe(F.col("_s")), "left")
-    failed = F.array_compact(F.array(*[F.when(~F.col("base_failed") & F.expr(f"coalesce({e} > element_at(cuts, {r}), false)"), F.lit(name)) for r, (name, e, _) in enumerate(rules)]))
+    told = stage(thresholds(m, labels, risk, level, rules), "thresholds").select(F.col("stratum").alias("_s"), "step")
+    small = told.count() <= 10_000  # strata; a number for each
+    got = m.join(F.broadcast(told) if small else told, F.col("stratum").eqNullSafe(F.col("_s")), "left")
+    over = lambda e, cuts: F.expr(e) > F.get(F.array(*[F.lit(c) for c in ladder(cuts)]), F.col("step"))
+    failed = F.array_compact(F.array(*[F.when(~F.col("base_failed") & F.coalesce(over(e, cuts), F.lit(False)), F.lit(name)) for name, e, cuts in rules]))
     got = got.withColumn("failed_rules", failed)
-    return got.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("_s", "cuts")
+    return got.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("_s", "step")

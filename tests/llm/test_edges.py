@@ -3,9 +3,10 @@
 import random
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from quern.llm import line_dedup, minhash_dedup
+from quern.llm import ann_forest, line_dedup, minhash_dedup
 from quern.llm.chat_collapse import format_chats
 from tests.llm.test_native_ops import py_chats
 
@@ -96,3 +97,147 @@ def test_long_and_repeated_conversations(spark):
     d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"k": F.lit(1), "n": F.lit(2), "a": F.lit(3), "x": F.lit("y")})
     got = {r.conv_id: (r.n_turns, r.text) for r in format_chats(d).collect()}
     assert got == py_chats(rows) and set(got) == {1, 3, 5}
+
+
+def found(spark, rows, is_query="true", **how):
+    d = spark.createDataFrame([(i, None if v is None else [float(x) for x in v], 1, 2) for i, v in rows], "vec_id long, embedding array<double>, row int, leaf int")
+    out = {}
+    for r in ann_forest.nearest(d, is_query, **how).orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    return out
+
+
+def py_nearest(rows, queries, k=10):
+    out = {}
+    for q in queries:
+        v = min(x for i, x in rows if i == q)
+        got = sorted((float(np.sqrt(sum((a - b) ** 2 for a, b in zip(v, x)))), i) for i, x in rows if i != q)[:k]
+        out[q] = [(n + 1, i, s) for n, (s, i) in enumerate(got)]
+    return {q: g for q, g in out.items() if g}
+
+
+def alike(a, b):
+    return a.keys() == b.keys() and all([x[:2] for x in a[q]] == [x[:2] for x in b[q]] and np.allclose([x[2] for x in a[q]], [x[2] for x in b[q]], atol=1e-9) for q in a)
+
+
+def test_nearest_of_repeated_ids(spark):
+    rows = [(1, (0, 1)), (1, (0, 2)), (2, (0, 1)), (3, (5, 5)), (3, (5, 5)), (4, (0, 1))]
+    assert alike(found(spark, rows), py_nearest(rows, (1, 2, 3, 4)))
+    assert found(spark, [(1, (1, 1))]) == {} and found(spark, [(1, (1, 1)), (1, (2, 2))]) == {}
+    assert found(spark, [(1, (1, 1)), (2, (2, 2)), (None, (3, 3)), (5, ())], "id = 1") == {1: [(1, 2, 2**0.5)]}
+    assert found(spark, [(1, None)]) == {}
+
+
+def test_nearest_far_from_the_origin(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, tuple(1e5 + 1e-3 * rng.standard_normal(8))) for i in range(1500)]
+    got, want = found(spark, rows, "id % 50 = 0", share=1.0), py_nearest(rows, range(0, 1500, 50))
+    assert sum(len({i for _, i, _ in got[q]} & {i for _, i, _ in want[q]}) for q in want) >= 0.99 * 300
+    assert all(abs(a[2] - b[2]) < 1e-9 for q in want for a, b in zip(got[q], want[q]))
+
+
+def test_nearest_of_equal_vectors(spark):
+    """A third of all vectors are equal: one leaf of each tree holds them; nearest of them are the smallest ids."""
+    rng = np.random.default_rng(7)
+    rows = [(i, tuple([1.0] * 4) if i % 3 == 0 else tuple(rng.standard_normal(4))) for i in range(3000)]
+    got = found(spark, rows, "id % 300 = 0")
+    assert len(got) == 10 and all([i for _, i, _ in g] == [i for i in range(0, 36, 3) if i != q][:10] and g[9][2] == 0 for q, g in got.items())
+
+
+def test_more_short_queries_than_a_block(spark):
+    """A share of one leaf leaves 5,000 queries with fewer than k; all are searched again."""
+    rng = np.random.default_rng(9)
+    rows = [(i, tuple(rng.standard_normal(4))) for i in range(5000)]
+    got = found(spark, rows, share=1e-9, k=60)
+    assert len(got) == 5000 and all(len(g) == 60 for g in got.values())
+
+
+def test_features_of_runs_are_those_of_documents():
+    """op9: a run inside a document has the neighbours that scoring sees."""
+    import pyarrow as pa
+
+    from quern.llm import quality_crf as Q
+
+    texts = ["\n".join(f"line {i} of {k} words and " * (1 + i % 4) for i in range(k)) for k in (1, 3, 60, 200)]
+    b = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array([1, 0, 1, 0], pa.int32()), pa.array(texts)], ["id", "y", "text"])
+    for r in next(iter(Q._line_rows(iter([b]), 48))).to_pylist():
+        raw = texts[r["id"] - 1].encode()
+        f, _, doc = Q.line_features(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        whole = Q.with_neighbours(f, doc)
+        own = np.array(r["f"]).reshape(-1, Q.N_OWN)
+        run = Q.with_neighbours(own, np.zeros(len(own), int))[r["first"] : r["first"] + r["n"]]
+        start = int(Q._run_starts(np.array([r["id"]]), np.array([len(f)]), 48)[0])
+        assert r["n"] == min(48, len(f)) and np.allclose(run, whole[start : start + r["n"]], atol=1e-5)
+
+
+def test_quality_of_repeated_and_odd_rows(spark):
+    from quern.llm import quality_crf as Q
+
+    rows = [(i, "Good sentences stand here, one by one.\nThey end well." if i % 2 else "$$ ## win win win\n!!! $$$ ##", "a") for i in range(40)] + [(1, "x $$", "a")] * 3 + [(None, "none", "b"), (77, None, "b")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, y string").withColumns({"first": F.lit(1), "f": F.lit(2), "score": F.lit("z")})
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1, 1), (3, 0), (99, 1), (None, 1), (5, None)], "doc_id long, quality int")
+    model = Q.fit(d, labels)
+    got = Q.quality_scores(d, model).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got) and abs(model["share"] - 20 / 41) < 1e-9
+    kept = Q.good_documents(d, model)
+    assert kept.columns == d.columns and kept.where("doc_id = 7").count() == 1 and kept.where("doc_id = 8").count() == 0
+    assert Q.quality_scores(d.limit(0), model).count() == 0 and Q.fit(d.limit(0), labels) == {"share": 0.5}
+
+
+def bound_holds(n, k, p, level):
+    from math import comb
+
+    return sum(comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1)) <= level
+
+
+def test_steps_are_those_of_the_exact_bound(spark):
+    """op6: the step of every stratum against the joint verdict and a bound summed in plain Python."""
+    from quern.llm import quality_rules as R
+
+    rng = random.Random(12)
+    rows = [(i, " ".join(["word" + str(rng.randrange(900)) for _ in range(40)] + ["#"] * rng.choice([0] * 60 + [1, 2, 5, 9]) + ["!"] * rng.choice([0] * 60 + [3, 30])), rng.choice(["a", "a", "b", None, None, "few"] if i % 9 else ["a"])) for i in range(2500)]
+    rows = [(i, t, s if s != "few" or i < 40 else "a") for i, t, s in rows]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(2500)] + [(0, 1), (9999, 1), (3, None)], "doc_id long, quality int")
+    risk, level = 0.04, 0.05
+    m = R.measures(d).withColumn("base_failed", R.base_failed())
+    got = {r.stratum: r.step for r in R.thresholds(m, labels, risk, level).collect()}
+    values = {}
+    for r in m.where("not base_failed").selectExpr("id", "stratum", *[f"cast({e} as double) as m{k}" for k, (_, e, _) in enumerate(R.RULES)]).collect():
+        values.setdefault(r.stratum, []).extend([r[2:]] * (2 if r.id == 0 else 1))
+    want = {}
+    for s, v in values.items():
+        for step in range(R.STEPS):
+            k = sum(any(x > R.ladder(cuts)[step] for x, (_, _, cuts) in zip(row, R.RULES)) for row in v)
+            if not bound_holds(len(v), k, risk, level / len(values)):
+                break
+            want[s] = step
+    assert got == want and "few" in values and "few" not in want and len(want) == 3 and set(want.values()) != {R.STEPS - 1}
+    for s in values:
+        own = [r.kept for r in R.apply_rules(d, labels, risk=risk, level=level).where("not base_failed").collect() if r.stratum == s]
+        assert sum(not x for x in own) <= risk * len(own)
+
+
+def test_joint_false_rejection_stays_within_risk():
+    """op6: steps learned on samples of a known population: how often the verdict's true rate is over the risk."""
+    rng, over = np.random.default_rng(3), 0
+    rates = [0.0012 * (s + 1) ** 1.5 for s in range(10)]
+    for _ in range(300):
+        n, u, held = 1500, None, 0.0
+        u = rng.random(n)
+        for p in rates:
+            if not bound_holds(n, int((u < p).sum()), 0.02, 0.05):
+                break
+            held = p
+        over += held > 0.02
+    assert over <= 0.08 * 300
+
+
+def test_rules_of_empty_and_repeated_rows(spark):
+    from quern.llm import quality_rules as R
+
+    text = " ".join(f"w{i}" for i in range(20))
+    d = spark.createDataFrame([(1, text, None), (1, text, None), (None, text, "a"), (2, None, "a")], "doc_id long, text string, lang string").withColumns({"id": F.lit(1), "cuts": F.lit(2), "stratum": F.lit(3), "_s": F.lit(4)})
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, None)], "doc_id long, quality int")
+    assert Counter((r.id, r.kept) for r in R.apply_rules(d, labels).collect()) == Counter([(1, True), (1, True), (None, True), (2, False)])
+    assert R.apply_rules(d.limit(0), labels).count() == 0

@@ -175,18 +175,43 @@ def test_nearest(spark, sf):
 
 
 def test_forest_recall():
+    """The share that is measured gives its recall, and is small where vectors lie in clusters."""
     rng = np.random.default_rng(2)
-    x = rng.standard_normal((6000, 32))
-    f = ann_forest.Forest(x, 8, 1)
-    q, leaf = x[:50], f.leaves(x)
-    seen = f.visited(q, leaf[:1500], 0.65)
-    hit = 0
-    for i in range(50):
-        d = ((x - q[i]) ** 2).sum(axis=1)
-        d[i] = np.inf
-        best = np.argsort(d)[:10]
-        hit += sum(any(seen[i, t, leaf[b, t]] for t in range(8)) for b in best)
-    assert hit >= 0.9 * 500
+    flat = rng.standard_normal((6000, 32))
+    centres = 5 * rng.standard_normal((60, 32))
+    shares = []
+    for x in (flat, centres[rng.integers(0, 60, 6000)] + rng.standard_normal((6000, 32))):
+        f = ann_forest.Forest(x, 8, 1)
+        q, leaf, hit, seen_rows = x[:50], f.leaves(x), 0, 0
+        for i in range(50):
+            d = ((x - q[i]) ** 2).sum(axis=1)
+            d[i] = np.inf
+            seen = set(f.visited(q[i], f.share))
+            best = np.argsort(d)[:10]
+            hit += sum(any((t, leaf[b, t]) in seen for t in range(8)) for b in best)
+            seen_rows += np.any([np.isin(leaf[:, t], [v for u, v in seen if u == t]) for t in range(8)], axis=0).sum()
+        assert hit >= 0.9 * 500
+        shares.append(seen_rows / 50 / 6000)
+    assert shares[0] < 0.9 and shares[1] < 0.1
+
+
+def test_queue_order():
+    """One queue over all trees pops leaves by the largest distance to a plane on their path."""
+    x = np.random.default_rng(4).standard_normal((3000, 8))
+    f = ann_forest.Forest(x, 3, 1)
+    q = x[0] - f.middle
+    far = {}
+    for t in range(3):
+        for leaf in range(1 << f.depth):
+            node, out = leaf + (1 << f.depth), 0.0
+            while node > 1:
+                m = q @ f.w[t, node // 2] - f.b[t, node // 2]
+                if (m >= 0) != node % 2:
+                    out = max(out, abs(m))
+                node //= 2
+            far[t, leaf] = out
+    got = list(f._popped(q))
+    assert sorted(got) == sorted(far) and np.allclose([far[x] for x in got], sorted(far.values()))
 
 
 def test_quality(spark, sf):
