@@ -5,10 +5,15 @@ tokens; of the waiting pieces that fit, the one whose demand has the largest inn
 as shares of the limits) goes in. When none fits, the best piece is cut to fill the sequence exactly, and its rest
 waits on, so only the last sequence of a task can be short; that one is written as sequences of powers of two, which
 need no padding. Every task packs what it reads, in order, with a bounded number of pieces waiting: no shuffle, no
-state beyond the waiting pieces, and a lost task repeats with the same result.
+state beyond the waiting pieces, and a lost task repeats with the same result. Which pieces share a sequence so
+depends on how the table is split into tasks.
 
-Edge cases: a null or empty text is the end token alone; texts of any length are cut freely; null ids are packed as
-any other; repeated rows are packed each time; other columns are ignored.
+Of plain documents every token bears loss, so the third limit equals the first unless a smaller one is given. Examples
+made of parts (`pack_examples`, `pack_conversations`) say which parts bear loss, as the answers of instruction data.
+
+Edge cases: a null or empty text is the end token alone, as is an example without parts; a null part has no tokens, a
+null loss mark means none; texts of any length are cut freely; null ids are packed as any other; repeated rows are
+packed each time; an empty table gives an empty one; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -78,10 +83,7 @@ class Packer:
         elif n and self.room[1] >= 1 and self.room[0] >= 1 and self.room[2] >= 1:
             doc, start, ids, loss, total = self._take(int(np.argmax(value)))
             k = int(min(self.room[0], len(ids)))
-            if loss is not None:
-                k = min(k, int(np.searchsorted(np.cumsum(loss), self.room[2], "right")))
-            if k == 0:  # cannot happen while the loss room is at least 1
-                raise AssertionError("no room")
+            k = min(k, int(self.room[2]) if loss is None else int(np.searchsorted(np.cumsum(loss), self.room[2], "right")))
             self._put((doc, start, ids[:k], None if loss is None else loss[:k], total))
             if k < len(ids):
                 self._wait((doc, start + k, ids[k:], None if loss is None else loss[k:], total))
@@ -197,9 +199,55 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, tokens: int
         yield _rows(p, base, with_ids, kind)
 
 
+def _pack_parts(batches: Iterator[pa.RecordBatch], path: str, end_id: int, tokens: int, segments: int, loss: int | None, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+
+    base, p, kind = TaskContext.get().partitionId() << 36, Packer(tokens, segments, loss), pa.int64()
+    tail = np.array([end_id], np.uint32)
+    for b in batches:
+        parts = b.column(1)
+        many, flat = parts.value_lengths().fill_null(0).to_numpy(), parts.flatten()
+        bears = flat.field("loss").fill_null(False).to_numpy(zero_copy_only=False)
+        ids, mask = [], []
+        for lo, hi, data, offs in text_chunks(pa.RecordBatch.from_arrays([flat.field("text")], ["text"]), "text"):
+            got, at = encode_texts(data, offs, path, None)
+            ids += [got[s:e] for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            mask += [np.full(e - s, m, np.int64) for s, e, m in zip(at[:-1].tolist(), at[1:].tolist(), bears[lo:hi].tolist(), strict=True)]
+        k = 0
+        for doc, n in zip(b.column(0).to_pylist(), many.tolist(), strict=True):
+            last = np.array([n > 0 and bears[k + n - 1]], np.int64)  # the end token goes with the last part
+            p.add(doc, np.concatenate([*ids[k : k + n], tail]), np.concatenate([*mask[k : k + n], last]))
+            k += n
+        if p.out:
+            yield _rows(p, base, with_ids, kind)
+    p.finish()
+    if p.out:
+        yield _rows(p, base, with_ids, kind)
+
+
+_PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", *, tokens: int = 2048, segments: int = 256, loss: int | None = None, end_id: int = 1, with_ids: bool = True) -> DataFrame:
     """Pieces (id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]) of all texts."""
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     f = partial(_pack, path=tokenizer_path, end_id=end_id, tokens=tokens, segments=segments, loss=loss, with_ids=with_ids)
-    return arrow_map(src, f, schema)
+    return arrow_map(src, f, _PIECES + ", ids array<int>" * with_ids)
+
+
+def pack_examples(examples: DataFrame, tokenizer_path: str, id_col: str = "id", parts_col: str = "parts", *, tokens: int = 2048, segments: int = 256, loss: int | None = None, end_id: int = 1, with_ids: bool = True) -> DataFrame:
+    """The same for examples whose parts, an array of (text, loss), are encoded one after another.
+
+    A sequence holds at most `tokens` tokens, `segments` pieces and `loss` tokens of parts that bear loss.
+    """
+    parts = F.col(f"`{parts_col}`").cast("array<struct<text:string,loss:boolean>>")
+    f = partial(_pack_parts, path=tokenizer_path, end_id=end_id, tokens=tokens, segments=segments, loss=loss, with_ids=with_ids)
+    return arrow_map(examples.select(F.col(f"`{id_col}`").cast("long").alias("id"), parts.alias("parts")), f, _PIECES + ", ids array<int>" * with_ids)
+
+
+def pack_conversations(chats: DataFrame, tokenizer_path: str, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", *, answers: str = "assistant", **limits) -> DataFrame:
+    """Conversations as examples: a tagged part for each turn, of which those of the role `answers` bear loss."""
+    x = F.struct(*[F.col(f"`{c}`").alias(n) for c, n in ((turn_col, "turn"), (role_col, "role"), (text_col, "text"))])
+    turns = chats.groupBy(F.col(f"`{conv_col}`").alias("id")).agg(F.sort_array(F.collect_list(x)).alias("turns"))
+    part = lambda t: F.struct(F.concat(F.lit("<|im_start|>"), F.coalesce(t["role"], F.lit("")), F.lit("\n"), F.coalesce(t["text"], F.lit("")), F.lit("<|im_end|>\n")).alias("text"), F.coalesce(t["role"] == answers, F.lit(False)).alias("loss"))
+    return pack_examples(turns.select("id", F.transform("turns", part).alias("parts")), tokenizer_path, **limits)

@@ -241,3 +241,93 @@ def test_rules_of_empty_and_repeated_rows(spark):
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, None)], "doc_id long, quality int")
     assert Counter((r.id, r.kept) for r in R.apply_rules(d, labels).collect()) == Counter([(1, True), (1, True), (None, True), (2, False)])
     assert R.apply_rules(d.limit(0), labels).count() == 0
+
+
+def masked_examples(rng, n):
+    """(id, parts) of prompts and answers."""
+    word = lambda k: " ".join(rng.choice(("the", "river", "Überzug", "x1", "#")) for _ in range(k))
+    return [(i, [(word(rng.randrange(1, 160)), False), (word(rng.randrange(0, 60)), True)] * rng.choice((1, 1, 2))) for i in range(n)]
+
+
+def test_packing_of_loss_bearing_tokens(spark):
+    """op2: all three limits hold through the table operator; parts are encoded in order; the end token goes with the last."""
+    from tokenizers import Tokenizer
+
+    from quern.llm import packing
+    from quern.llm.queries import tokenizer
+
+    path = tokenizer("byte_bpe_50k.json")
+    t, rng = Tokenizer.from_file(path), random.Random(2)
+    made = masked_examples(rng, 400) + [(900, []), (901, None), (902, [(None, True), ("a", None)]), (None, [("b", True)]), (7, [("again", True)])]
+    d = spark.createDataFrame(made, "id long, parts array<struct<text:string,loss:boolean>>").withColumns({"ids": F.lit(1), "start": F.lit(2)}).repartition(2)
+    want = {}
+    for i, parts in made:
+        ids, mask = [], []
+        for text, loss in parts or []:
+            new = t.encode(text or "", add_special_tokens=False).ids
+            ids, mask = ids + new, mask + [bool(loss)] * len(new)
+        want.setdefault(i, []).append((ids + [1], mask + [bool(parts and parts[-1][1])]))
+    got = packing.pack_examples(d, path, tokens=256, segments=6, loss=100).collect()
+    seqs, docs = {}, Counter()
+    for r in got:
+        seqs.setdefault(r.sequence_id, []).append(r)
+        docs[r.id] += r.length
+    assert docs == {i: sum(len(x) for x, _ in v) for i, v in want.items()}
+    some_loss = 0
+    for v in seqs.values():
+        bears = sum(sum(want[r.id][0][1][r.start : r.start + r.length]) for r in v if r.id != 7)
+        some_loss += bears == 100
+        assert sum(r.length for r in v) <= 256 and len(v) <= 6 and bears <= 100
+    for i in range(7):
+        own = sorted((r for r in got if r.id == i), key=lambda r: r.start)
+        assert [x for r in own for x in r.ids] == want[i][0][0]
+    assert some_loss > 3
+
+
+def test_packing_limits_of_plain_texts(spark):
+    """op2: a loss limit without a mask bounds all tokens; empty tables, null ids and repeated rows."""
+    from quern.llm import packing
+    from quern.llm.queries import tokenizer
+
+    d = clashing(spark, [(1, "a b c d e f g h i j k l m n o p")] * 3 + [(None, "x y z"), (4, None), (5, "")])
+    got = packing.pack_documents(d, tokenizer("byte_bpe_50k.json"), loss=10).collect()
+    n = Counter()
+    for r in got:
+        n[r.sequence_id] += r.length
+    assert max(n.values()) <= 10 and sum(n.values()) == 3 * 17 + 4 + 2
+    assert packing.pack_documents(d.limit(0), tokenizer("byte_bpe_50k.json")).count() == 0
+
+
+def test_dot_product_is_not_the_longest_piece():
+    """op2: with loss masks the largest inner product often is another piece than the longest that fits."""
+    from quern.llm import packing
+
+    rng, other, placed = random.Random(5), 0, 0
+
+    class Watched(packing.Packer):
+        def _place(self):
+            nonlocal other, placed
+            need = self.need[: len(self.items)]
+            fits = (need <= self.room).all(axis=1)
+            if fits.any():
+                value = np.where(fits, need @ (self.room / (self.limit * self.limit)), -1.0)
+                placed += 1
+                other += need[int(np.argmax(value)), 0] < need[fits, 0].max()
+            super()._place()
+
+    p = Watched(tokens=512, segments=8, loss=200, waiting=64)
+    for i in range(600):
+        n = rng.randrange(10, 300)
+        p.add(i, np.arange(n), (np.arange(n) >= n * rng.random()).astype(int))
+    p.finish()
+    assert placed > 300 and other > 0.1 * placed
+
+
+def test_packing_of_conversations(spark):
+    from quern.llm import packing
+    from quern.llm.queries import tokenizer
+
+    rows = [(c, k, "user" if k % 2 == 0 else "assistant", f"words of turn {k} in {c}") for c in range(50) for k in range(6)] + [(99, 0, None, None)]
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = packing.pack_conversations(d, tokenizer("byte_bpe_50k.json"), tokens=512, loss=128).collect()
+    assert {r.id for r in got} == {*range(50), 99} and max(r.length for r in got) <= 512
