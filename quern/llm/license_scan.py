@@ -1,18 +1,22 @@
 """Licence scans with a trained paragraph classifier (operator 10).
 
-A paragraph (line, in windows of 2 x HALF tokens if longer) is a sparse bag of word 1- and 2-grams, hashed; a softmax
-regression over licence families and "none" is trained here on notices with words dropped, added and swapped, against
-at most NEGATIVES lines of the corpus. The logits are divided by a temperature fitted on held-out variants, and the
-score that a licence needs is set above all but a NOISE share of held-out plain lines, so a paragraph whose best
-family stays below it is "none" or, if licence families together are likely, "unknown". Each prediction is then
-compared with the family's templates (share of a template's word pairs found). So is every other family, which must
-also have as much of the word pairs that its template shares with no other family, so a paragraph may name several. A
-paragraph of a lower score, as a short notice inside a long one has, names a family for a SURE share of both. A likely
-one in which no template confirms any family is "unknown" if it holds two word pairs of any template at all, and nothing
-otherwise.
+A paragraph is a line, with the lines that it is wrapped into: a line goes on in the next one if it ends without a
+stop and no blank line is between. In windows of 2 x HALF tokens, half overlapping, it is a sparse bag of word 1- and
+2-grams, hashed; a softmax regression over licence families and "none" is trained here on notices and licence bodies
+with words dropped and added, alone and inside corpus text, against at most NEGATIVES lines of the corpus and sentences
+that speak of licences and grant none (negated, comparing, telling). The logits are divided by a temperature fitted on
+held-out variants, and the score that a licence needs is set above all but a NOISE share of held-out plain lines.
+
+Each prediction is then compared with templates, the notices in pieces of PIECE words. A family is named in a likely
+window that has a CONFIRMED share (in any other window, as of a short notice inside a long paragraph, a SURE share) of
+a template's word pairs, and as much of those pairs that no other family's templates have: families whose windows look
+alike compete by what is their own, and a paragraph may name several. A notice with a negation or a comparison right
+before it names none. A likely window in which no family is named but that holds word pairs of templates is the
+"unknown" class, unless a family is named at most AROUND windows away: then it is the rest of that licence.
 
 Edge cases: null, empty and wordless texts have no licence; a text of any length is scanned whole; several families
-are all listed, sorted; repeated rows count each; other columns are ignored.
+are all listed, sorted; repeated rows count each; null ids are kept; an empty table gives an empty one; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -26,24 +30,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BYTE_LOWER, U, arrow_map, drawn, mix, span_hashes, text_chunks, word_spans
-from .license_texts import TEMPLATES
+from .license_texts import NAMES, NEGATIONS, NO_GRANT, TEMPLATES
 
 FAMILIES = ("none", *TEMPLATES)
 BUCKETS, HALF, NEGATIVES, NOISE, CONFIRMED, SURE = 1 << 14, 32, 4_000, 0.0005, 0.5, 0.75
+PIECE, AROUND, BEFORE = 40, 64, 8
 _APART = np.ones(256, bool)
 for _r in ((48, 58), (65, 91), (97, 123), (128, 256)):
     _APART[slice(*_r)] = False
 
 
 def windows(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Token starts, ends and hashes; half-paragraph of each token; line number of each half."""
+    """Token starts, ends and hashes; half-window of each token; paragraph number of each half."""
     starts, ends, _ = word_spans(data, offs, _APART)
     if not len(starts):
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(0, np.uint64), z, z
     h = span_hashes(data, starts, ends, BYTE_LOWER)
-    heads = np.union1d(offs[:-1][np.diff(offs) > 0], np.flatnonzero(data == 10) + 1)
-    line = np.searchsorted(heads, starts, "right") - 1
+    breaks, stops = (np.concatenate([[0], np.cumsum(np.isin(data, np.frombuffer(v, np.uint8)))]) for v in (b"\n", b".!?:;"))
+    between = breaks[starts[1:]] - breaks[ends[:-1]]
+    stopped = stops[starts[1:]] - stops[ends[:-1]] > 0
+    doc = np.searchsorted(offs, starts, "right") - 1
+    new = np.ones(len(starts), bool)
+    new[1:] = (between > 1) | ((between == 1) & stopped) | (doc[1:] != doc[:-1])
+    line = np.cumsum(new) - 1
     nth = np.arange(len(line)) - np.searchsorted(line, line)
     new = (nth % HALF) == 0
     half = np.cumsum(new) - 1
@@ -85,7 +95,19 @@ def _all_pairs() -> frozenset[int]:
 
 @lru_cache(maxsize=1)
 def _template_pairs() -> dict[str, list[frozenset[int]]]:
-    return {k: [frozenset(_pairs(t)) for t in v] for k, v in TEMPLATES.items()}
+    return {k: [frozenset(_pairs(piece)) for t in v for piece in _pieces(t)] for k, v in TEMPLATES.items()}
+
+
+def _pieces(text: str) -> list[str]:
+    """A text in equal pieces of at most PIECE words."""
+    words = text.split()
+    n = -(-len(words) // PIECE)
+    return [" ".join(words[len(words) * k // n : len(words) * (k + 1) // n]) for k in range(n)]
+
+
+@lru_cache(maxsize=1)
+def _negations() -> np.ndarray:
+    return np.concatenate([_tokens(w) for w in NEGATIONS])
 
 
 def _pairs(text: str) -> list[int]:
@@ -114,9 +136,15 @@ def _all_own() -> np.ndarray:
     return np.array(sorted({x for v in _own_pairs().values() for _, own in v for x in own}), U)
 
 
-def named(family: str, have: set[int], share: float = CONFIRMED) -> bool:
-    """Whether a template has `share` of its word pairs among the tokens', and as much of those of its family alone."""
-    return any(own and len(own & have) >= share * len(own) and len(t & have) >= share * len(t) for t, own in _own_pairs()[family])
+def named(family: str, own: np.ndarray, pairs: np.ndarray, share: float = CONFIRMED) -> bool:
+    """Whether a template has `share` of its word pairs among the tokens', as much of those of its family alone, and no negation before it."""
+    have = set(pairs.tolist())
+    for t, alone in _own_pairs()[family]:
+        if alone and len(alone & have) >= share * len(alone) and len(t & have) >= share * len(t):
+            first = int(np.flatnonzero(np.isin(pairs, np.array(sorted(t), U)))[0])
+            if not np.isin(own[max(0, first - BEFORE) : first], _negations()).any():
+                return True
+    return False
 
 
 def _any_confirmed(text: str) -> bool:
@@ -138,16 +166,20 @@ def scan(model: dict, data: np.ndarray, offs: np.ndarray) -> list[dict[str, floa
     hits = np.flatnonzero(likely | holds)
     first = np.searchsorted(half, np.arange(len(p) + 2))
     doc = np.searchsorted(offs, starts[first[hits]], "right") - 1
+    places: dict[int, list[int]] = {}
+    unknown: list[tuple[int, int]] = []
     for i, d in zip(hits.tolist(), doc.tolist(), strict=True):
         own = h[first[i] : first[i + 1 + int(more[i])]]
-        have = set(mix(own[:-1] * U(3) + own[1:]).tolist())
-        best = int(np.argmax(p[i, 1:])) + 1
-        names = [k for k in range(1, len(FAMILIES)) if named(FAMILIES[k], have, CONFIRMED if likely[i] else SURE)]
-        if likely[i] and best not in names and confirmed(FAMILIES[best], own):
-            names.append(best)
+        own_pairs = mix(own[:-1] * U(3) + own[1:])
+        names = [k for k in range(1, len(FAMILIES)) if named(FAMILIES[k], own, own_pairs, CONFIRMED if likely[i] else SURE)]
         for k in names:
             out[d][FAMILIES[k]] = max(out[d].get(FAMILIES[k], 0.0), float(p[i, k]))
-        if likely[i] and not names and len(have & _all_pairs()) >= 2:
+        if names:
+            places.setdefault(d, []).append(i)
+        elif likely[i] and len(_all_pairs().intersection(own_pairs.tolist())) >= 2 and not np.isin(own, _negations()).any():
+            unknown.append((d, i))
+    for d, i in unknown:
+        if not any(abs(i - j) <= AROUND for j in places.get(d, ())):
             out[d]["unknown"] = max(out[d].get("unknown", 0.0), float(1 - p[i, 0]))
     return out
 
@@ -155,7 +187,7 @@ def scan(model: dict, data: np.ndarray, offs: np.ndarray) -> list[dict[str, floa
 def _variants(rng: np.random.Generator, filler: list[str], lines: list[str], each: int) -> tuple[list[str], list[int]]:
     texts, y = [], []
     for k, fam in enumerate(TEMPLATES, 1):
-        for t in TEMPLATES[fam]:
+        for t in (piece for x in TEMPLATES[fam] for piece in _pieces(x)):
             for i in range(each):
                 words = t.split()
                 if i and len(words) > 6:
@@ -181,6 +213,14 @@ def _variants(rng: np.random.Generator, filler: list[str], lines: list[str], eac
     return texts, y
 
 
+def _told(rng: np.random.Generator, lines: list[str]) -> list[str]:
+    """Sentences that speak of licences and grant none, alone and inside corpus text."""
+    names = [n for v in NAMES.values() for n in v]
+    out = [form.format(n, names[int(rng.integers(len(names)))]) for form in NO_GRANT for n in names for _ in range(2)]
+    around = [lines[rng.integers(len(lines))].split()[:HALF] if lines else [] for _ in out]
+    return out + [" ".join([*w, x]) for w, x in zip(around, out, strict=True)]
+
+
 def cut(line: str) -> list[str]:
     """A line in pieces of HALF tokens."""
     raw = line.encode()
@@ -203,7 +243,7 @@ def train(lines: list[str], seed: int = 5, each: int = 12, steps: int = 150) ->
     plain = "the of and to in a is that for it as was with be by on this are from or not have an which at but all were can has more one about use file text work book page terms version free software source code license public general copy rights reserved".split()
     filler = sorted({w for x in lines[:500] for w in x.split()[:10]} | set(plain))
     pos, y = _variants(rng, filler, lines, each)
-    noise = [" ".join(rng.choice(plain, rng.integers(1, 25))) for _ in range(600)]
+    noise = [" ".join(rng.choice(plain, rng.integers(1, 25))) for _ in range(600)] + _told(rng, lines)
     texts, y = pos + lines + noise, np.array(y + [0] * (len(lines) + len(noise)))
     raw = [t.replace("\n", " ").encode() for t in texts]
     offs = np.zeros(len(raw) + 1, np.int64)

@@ -1,4 +1,7 @@
-"""Short public licence notices by family: what the classifier learns from and what confirms it."""
+"""Public licence notices and bodies by family: what the classifier learns from and what confirms it.
+
+Fixed values: these texts are quoted as their licences have them.
+"""
 
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": (
@@ -6,19 +9,36 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the MIT license.",
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
         "SPDX-License-Identifier: MIT",
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+        "\"License\" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document.",
+        "\"Licensor\" shall mean the copyright owner or entity authorized by the copyright owner that is granting the License.",
+        "\"Derivative Works\" shall mean any work, whether in Source or Object form, that is based on (or derived from) the Work and for which the editorial revisions, annotations, elaborations, or other modifications represent, as a whole, an original work of authorship.",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable (except as stated in this section) patent license to make, have made, use, offer to sell, sell, import, and otherwise transfer the Work",
+        "You may reproduce and distribute copies of the Work or Derivative Works thereof in any medium, with or without modifications, and in Source or Object form, provided that You meet the following conditions:",
+        "You must give any other recipients of the Work or Derivative Works a copy of this License; and You must cause any modified files to carry prominent notices stating that You changed the files;",
+        "Unless You explicitly state otherwise, any Contribution intentionally submitted for inclusion in the Work by You to the Licensor shall be under the terms and conditions of this License, without any additional terms or conditions.",
+        "This License does not grant permission to use the trade names, trademarks, service marks, or product names of the Licensor, except as required for reasonable and customary use in describing the origin of the Work and reproducing the content of the NOTICE file.",
+        "Licensor provides the Work (and each Contributor provides its Contributions) on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+        "While redistributing the Work or Derivative Works thereof, You may choose to offer, and charge a fee for, acceptance of support, warranty, indemnity, or other liability obligations and/or rights consistent with this License.",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
         "You should have received a copy of the GNU General Public License along with this program.",
+        "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
         "Licensed under the GPL version 2 or later.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
@@ -37,6 +57,10 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)",
         "SPDX-License-Identifier: BSD-2-Clause",
     ),
     "MPL-2.0": (
@@ -67,6 +91,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS",
         "Licensed under the ISC License.",
     ),
     "Proprietary": (
@@ -74,3 +100,35 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Unauthorized copying of this file, via any medium, is strictly prohibited. Proprietary and confidential.",
     ),
 }
+
+#: How prose names the families: for sentences that speak of a licence and grant none.
+NAMES: dict[str, tuple[str, ...]] = {
+    "MIT": ("MIT License",),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License"),
+    "GPL": ("GNU General Public License", "GPL version 2"),
+    "LGPL": ("GNU Lesser General Public License",),
+    "AGPL": ("GNU Affero General Public License",),
+    "BSD": ("BSD 3-Clause License",),
+    "MPL-2.0": ("Mozilla Public License",),
+    "CC-BY": ("Creative Commons Attribution license",),
+    "CC-BY-SA": ("Creative Commons Attribution-ShareAlike License",),
+    "CC-BY-NC": ("Creative Commons Attribution-NonCommercial license",),
+    "CC0": ("CC0 1.0 Universal dedication",),
+    "ISC": ("ISC License",),
+}
+NO_GRANT = (
+    "This software is not released under the {0}.",
+    "This work is not licensed under the {0}.",
+    "It was never available under the {0}.",
+    "The code is no longer licensed under the {0}.",
+    "Unlike the {0}, these terms ask for a fee.",
+    "We compared the {0} with the {1}.",
+    "Is the {0} better than the {1}?",
+    "The {0} is shorter than the {1}.",
+    "Read an essay on the history of the {0} and the {1}.",
+    "Neither the {0} nor the {1} applies to this text.",
+    "Instead of the {0} the authors chose terms of their own.",
+    "Many projects choose the {0} because lawyers know it.",
+)
+#: Words before a notice that turn it round.
+NEGATIONS = ("not", "never", "no", "longer", "isn", "wasn", "aren", "weren", "cannot", "neither", "nor", "unlike", "instead", "rather", "than", "versus", "vs", "compare", "compared", "comparing", "without")
