@@ -115,30 +115,3 @@ def test_few_shot_beyond_one_block(spark):
             want |= {(i, 11 - p, j) for p, (_, j) in enumerate(best, 1)}
     a, b = spark.createDataFrame(q, "q long, topic int, qv array<double>"), spark.createDataFrame(e, "e long, topic int, v array<double>")
     assert set(map(tuple, S.few_shot(a, b).collect())) == want
-
-
-def test_licences_of_one_line(spark, sf):
-    """op10: two families in one window, and a short notice inside a long paragraph."""
-    license_scan = pytest.importorskip("quern.llm.license_scan")
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    model = license_scan.fit(docs)
-    plain = " ".join("the river runs past old stone houses and quiet gardens where people walk in the evening".split() * 3)
-    lines = [
-        ("Licensed under the Apache License, Version 2.0, or the MIT license.", "Apache-2.0,MIT"),
-        ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", "Apache-2.0,MIT"),
-        ("Licensed under the BSD 3-Clause License or the Mozilla Public License, version 2.0.", "BSD,MPL-2.0"),
-        ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL"),
-        ("Licensed under CC BY-SA 4.0.", "CC-BY-SA"),
-        (f"{plain[:120]} Released under the MIT License. {plain[:120]}", "MIT"),
-        (plain, None),
-    ]
-    rows = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(lines)], "doc_id long, text string")
-    got = {r.id: r.licenses for r in license_scan.license_scan(rows, model).collect()}
-    assert got == {i: want for i, (_, want) in enumerate(lines)}
-
-
-@pytest.mark.parametrize("line", ["", "one two", " ".join(f"wörd{i}" for i in range(300))])
-def test_licence_windows_hold_the_line(line):
-    license_scan = pytest.importorskip("quern.llm.license_scan")
-    got = license_scan.cut(line)
-    assert "".join(got) == line and all(len(x.split()) <= 32 for x in got)
