@@ -32,21 +32,29 @@ def general_cleaning(text: Column) -> Column:
     return F.regexp_replace(text, rf"({W})\n+ ?|  +", "$1 ")
 
 
+# The detokenizers' replacements, in their order.
+PTB = ((" '", "'"), (" \n", "\n"), ("\n ", "\n"), (" n't", "n't"), (" N ", "1 "), ("$ 1", "$1"), ("# 1", "#1"))
+WIKI_NUMBERS = ((" @-@ ", "-"), (" @,@ ", ","), (" @.@ ", "."))
+WIKI_STOPS = ((" : ", ": "), (" ; ", "; "), (" . ", ". "), (" ! ", "! "), (" ? ", "? "), (" , ", ", "))
+WIKI_BRACKETS = (
+    (r"\(\s*([^\)]*?)\s*\)", r"($1)"),
+    (r"\[\s*([^\]]*?)\s*\]", r"[$1]"),
+    (r"\{\s*([^\}]*?)\s*\}", r"{$1}"),
+    (r"\"\s*([^\"]*?)\s*\"", r'"$1"'),
+    (r"'\s*([^']*?)\s*'", r"'$1'"),
+)
+WIKI_REST = (("= = = =", "===="), ("= = =", "==="), ("= =", "=="), (" ° ", "°"), (" \n", "\n"), ("\n ", "\n"), (" N ", " 1 "), (" 's", "'s"))
+
+
 def ptb_detokenized(text: Column) -> Column:
     """P1, treebank style."""
-    glue = [(f" {x}", x) for x in ("'", "\n")] + [("\n ", "\n"), (" n't", "n't"), (" N ", "1 ")]
-    return replaced(text, *glue, *[(f"{x} 1", f"{x}1") for x in "$#"])
+    return replaced(text, *PTB)
 
 
 def wikitext_detokenized(text: Column) -> Column:
     """P1, encyclopedia style. The pattern with slashes is as odd as it was found."""
-    t = replaced(text, ("s '", "s'"))
-    t = rewritten(t, ("/' [0-9]/", "/'[0-9]/"))
-    t = replaced(t, *[(f" @{x}@ ", x) for x in "-,."], *[(f" {x} ", f"{x} ") for x in ":;.!?,"])
-    for left, right in ("()", "[]", "{}", '""', "''"):
-        t = rewritten(t, (rf"\{left}\s*([^\{right}]*?)\s*\{right}", rf"{left}$1{right}"))
-    t = replaced(t, *[(" ".join("=" * k), "=" * k) for k in (4, 3, 2)])
-    return replaced(t, (" ° ", "°"), (" \n", "\n"), ("\n ", "\n"), (" N ", " 1 "), (" 's", "'s"))
+    t = rewritten(replaced(text, ("s '", "s'")), ("/' [0-9]/", "/'[0-9]/"))
+    return replaced(rewritten(replaced(t, *WIKI_NUMBERS, *WIKI_STOPS), *WIKI_BRACKETS), *WIKI_REST)
 
 
 def task_clean(text: Column) -> Column:

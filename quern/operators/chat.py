@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 #: What stands for an image in rendered text.
-VISION = "".join(f"<|{x}|>" for x in ("vision_start", "image_pad", "vision_end"))
+VISION = "<|vision_start|><|image_pad|><|vision_end|>"
 
 
 def gathered(chats: DataFrame) -> DataFrame:
@@ -54,14 +54,48 @@ def chatml(m: Column, system: str = "You are a helpful assistant.") -> Column:
     return F.replace(F.concat(head, body), F.lit("<image>"), F.lit(VISION))
 
 
-def budgeted(source: Column, target: Column, cutoff: int) -> tuple[Column, Column]:
+def budgeted(source: Column, target: Column, cutoff: int | Column) -> tuple[Column, Column]:
     """V-A6: how much of source and target stays within cutoff: short sides first, else in proportion."""
-    share = F.floor(F.lit(float(cutoff)) * (target / F.greatest(source + target, F.lit(1))))
-    room = F.when(target * 2 < cutoff, F.lit(cutoff)).when(source * 2 < cutoff, cutoff - source).otherwise(share)
+    cutoff = F.lit(cutoff) if isinstance(cutoff, int) else cutoff
+    share = F.floor(cutoff.cast("double") * (target / F.greatest(source + target, F.lit(1))))
+    room = F.when(target * 2 < cutoff, cutoff).when(source * 2 < cutoff, cutoff - source).otherwise(share)
     t = F.least(room, target)
     return F.least(F.greatest(cutoff - t, F.lit(0)), source).cast("long"), t.cast("long")
 
 
+def supervised(pairs: Column, most: int, on_prompt: bool = False, eos: int | None = None, ignore: int = -100) -> Column:
+    """V-A7: (ids, labels, loss_mask) of an array of (source, target) id arrays within `most`.
+
+    One fold over the turns deals the budget out (the rule of V-A6 on what is left) and leaves each turn's two lengths;
+    the rest is slices. eos asks for the efficient form: a later turn's source begins with it as a label, and one
+    stands at the end.
+    """
+    # what is used, and the (source, target) lengths kept so far; a turn with no room left ends the fold
+    begin = F.struct(F.lit(int(eos is not None)).cast("long").alias("used"), F.expr("cast(array() as array<struct<s:bigint,t:bigint>>)").alias("kept"))
+
+    def turn(a: Column, x: Column) -> Column:
+        s, t = budgeted(F.size(x["source"]), F.size(x["target"]), F.lit(most).cast("long") - a["used"])
+        grown = F.struct((a["used"] + s + t).alias("used"), F.concat(a["kept"], F.array(F.struct(s.alias("s"), t.alias("t")))).alias("kept"))
+        return F.when(a["used"] >= most, a).otherwise(grown)
+
+    kept = F.aggregate(pairs, begin, turn, lambda a: a["kept"])
+    cut = F.transform(F.array(kept), lambda k: F.transform(F.slice(pairs, F.lit(1), F.size(k)), lambda x, i: F.struct(F.slice(x["source"], F.lit(1), k[i]["s"].cast("int")).alias("s"), F.slice(x["target"], F.lit(1), k[i]["t"].cast("int")).alias("t"))))[0]
+
+    def hidden(s: Column, i: Column) -> Column:
+        blank = lambda n: F.array_repeat(F.lit(ignore), n.cast("int"))
+        if on_prompt:
+            return s
+        if eos is None:
+            return blank(F.size(s))
+        # a later turn's mark stands even where its source was cut to nothing
+        return F.when(i > 0, F.concat(F.array(F.lit(eos)), blank(F.greatest(F.size(s) - 1, F.lit(0))))).otherwise(blank(F.size(s)))
+
+    tail = F.array(F.lit(eos)) if eos is not None else F.expr("cast(array() as array<int>)")
+    ids = F.concat(F.flatten(F.transform(cut, lambda x: F.concat(x["s"], x["t"]))), tail)
+    labels = F.concat(F.flatten(F.transform(cut, lambda x, i: F.concat(hidden(x["s"], i), x["t"]))), tail)
+    return F.struct(ids.alias("ids"), labels.alias("labels"), F.transform(labels, lambda x: (x != ignore).cast("int")).alias("loss_mask"))
+
+
 def first_pair(m: Column) -> tuple[Column, Column]:
     """V-A8: the first user and the first assistant content."""
     get = lambda role: F.get(F.filter(m, lambda x: x["role"] == role), F.lit(0))["content"]
@@ -91,3 +125,29 @@ def role_mapped(role: Column, text: Column) -> tuple[Column, Column]:
 def question_prompt(m: Column) -> Column:
     """Question: ... Answer: ... lines of earlier rounds."""
     return F.array_join(F.transform(m, lambda x, i: F.when(i % 2 == 0, F.concat(F.lit("Question: "), x["content"])).otherwise(F.concat(F.lit(" Answer: "), x["content"], F.lit("\n")))), "")
+
+
+def dialogue_examples(dialogues: DataFrame, topics: DataFrame, seen_data: bool = False) -> DataFrame:
+    """V-A11: from (id, topic, context array, knowledge, response): (id, topic, instance, dialog, known).
+
+    Without a passage, with brackets in it or without its topic in it a row goes (the last two not for seen data). Rows
+    of a topic in topics(topic) are prompts of that topic (known); the others go if the knowledge is of more than 20
+    words or begins with It or This.
+    """
+    last = F.slice("context", F.greatest(F.size("context") - 2, F.lit(1)), F.lit(3))
+    k = F.col("knowledge")
+    fine = k != "no_passages_used"
+    if not seen_data:
+        fine = fine & ~k.rlike(r"[()]") & F.contains(k, F.col("topic"))
+    instance = F.concat(F.lit("( "), F.element_at(last, -1), F.lit(" ) "), F.col("topic"), F.lit(" => "), k)
+    dialog = F.concat(F.lit("") if seen_data else F.concat(F.lit("( "), F.col("topic"), F.lit(" ) ")), F.array_join(last, " "))
+    d = dialogues.where(fine & (F.size("context") > 0)).join(topics.select("topic").distinct().withColumn("known", F.lit(True)), "topic", "left")
+    d = d.withColumn("known", F.coalesce("known", F.lit(False)))
+    short = F.size(F.filter(F.split(F.trim(k), r"\s+"), lambda w: w != "")) <= 20
+    return d.where(F.col("known") | (short & ~k.rlike("^([Ii]t|[Tt]his)"))).select("id", "topic", instance.alias("instance"), dialog.alias("dialog"), "known")
+
+
+def preference_row(prompt: Column, chosen: Column, rejected: Column) -> tuple[Column, Column, Column]:
+    """V-A12: the tagged prompt, open for an answer, and both answers with their end mark."""
+    tagged = F.concat(F.lit("<|im_start|>user\n"), prompt, F.lit("<|im_end|>\n<|im_start|>assistant\n"))
+    return tagged, *(F.concat(x, F.lit("<|im_end|>\n")) for x in (chosen, rejected))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalized_answer
@@ -74,3 +74,19 @@ def relative_difference(pairs: DataFrame, keys: list[str], a: str, b: str) -> Da
     """Sum |a - b| over sum |a|, 0 where that is 0, to three places."""
     x, d = F.sum(F.abs(a)), F.sum(F.abs(F.col(a) - F.col(b)))
     return pairs.groupBy(*keys).agg(F.round(F.when(x == 0, 0.0).otherwise(d / F.greatest(x, F.lit(1e-300))), 3).alias("difference"))
+
+
+def in_batch_ranks(batched: DataFrame, score: Column) -> DataFrame:
+    """(batch, q, rank) of every query's own item among the items of its batch, by (batch, q, qv, v) rows.
+
+    score is an expression on qv and the other's v, given as `other`. A batch is small: it is what one step compares.
+    """
+    items = batched.select("batch", F.col("q").alias("item"), F.col("v").alias("other"))
+    s = batched.select("batch", "q", "qv").join(items, "batch").withColumn("s", score)
+    own = F.max(F.when(F.col("q") == F.col("item"), F.struct("s", (-F.col("item")).alias("i")))).over(Window.partitionBy("batch", "q"))
+    return s.withColumn("own", own).groupBy("batch", "q").agg((F.count_if(F.struct("s", (-F.col("item")).alias("i")) > F.col("own")) + 1).alias("rank"))
+
+
+def rank_summary(ranks: DataFrame, *tops: int) -> DataFrame:
+    """The mean rank and the share of queries at rank k or before, for each k."""
+    return ranks.agg(F.round(F.avg("rank"), 9).alias("mean_rank"), *[F.round(F.avg((F.col("rank") <= k).cast("double")), 9).alias(f"top{k}") for k in tops])

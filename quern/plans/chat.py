@@ -108,7 +108,15 @@ _CML = f"case when m[1].role = 'system' then '' else '<|im_start|>system' || chr
 _S, _T = "length(answer)", "length(guess)"
 _TT = f"least(case when {_T} * 2 < 512 then 512 when {_S} * 2 < 512 then 512 - {_S} else floor(512.0::double * ({_T}::double / greatest({_S} + {_T}, 1))) end, {_T})::bigint"
 
+_NEAR = "greatest(round_even({0} / 28.0::double, 0) * 28, 28)"
+_SIDE = "case when big then greatest(floor({0} / shrink / 28) * 28, 28) when small then ceil({0} * grow / 28) * 28 else " + _NEAR + " end"
+
 ORACLES = {
+    "VA9_fitted_rounds": f"select conv_id, (n - n % 2)::int as kept from (select conv_id, len(list_filter(range(1, len(m) + 1), lambda i: list_sum(list_transform(m[1:i], lambda x: length(x.content))) <= 3000)) as n from {_M})",
+    "S1_time_parse": "select event_id, (event_id % 60)::int || ';' || floor(round(value, 2))::int as t from events",
+    "S12_resize": f"""with e as (select event_id, (event_id % 4000 + 1)::double as w, (event_id * 7 % 3000 + 1)::double as h from events),
+b as (select *, {_NEAR.format('w')} * {_NEAR.format('h')} > 1003520 as big, {_NEAR.format('w')} * {_NEAR.format('h')} < 3136 as small, sqrt(w * h / 1003520.0::double) as shrink, sqrt(3136.0::double / (w * h)) as grow from e)
+select event_id, case when greatest(w, h) / least(w, h) <= 200 then ({_SIDE.format('w')})::int end as w, case when greatest(w, h) / least(w, h) <= 200 then ({_SIDE.format('h')})::int end as h from b""",
     "VA1_instruction_unified": f"select conv_id, md5('user:' || answer) as prompt, md5('assistant:' || guess) as response, (length(answer) + length(guess))::bigint as d_len from {_PAIRS}",
     "VA2_role_tagged_unified": _VA2,
     "VA4_template_render": f"select conv_id, md5(array_to_string(list_transform(m, lambda x, i: case when i % 2 = 1 and i > 1 then chr(10) else '' end || case when i % 2 = 1 then 'User: ' else 'Assistant: ' end || x.content || chr(10)), '')) as text from {_M}",

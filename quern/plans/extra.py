@@ -42,7 +42,7 @@ def _models(s, d):
 
 def _materialized(s, d):
     t = docs(s, d).select(F.col("doc_id").alias("id"), F.transform(words(F.col("text")), lambda w: F.length(w)).alias("ids")).where("size(ids) between 1 and 2048")
-    return K.materialized(K.packed(t.select("id", F.size("ids").alias("tokens")), 2048, 10, "bfd", 4), t)
+    return K.materialized(K.packed(t.select("id", F.size("ids").alias("tokens")), 2048, 10, "bfd"), t)
 
 
 def _neigh(s, d):
@@ -50,6 +50,26 @@ def _neigh(s, d):
     return V.top_inner_products(e.where("vec_id % 50 = 0"), e, 20)
 
 
+def _batches(s, d):
+    """Queries and the item of each, the next vector, in batches of 32."""
+    e = table(s, d, "embeddings")
+    after = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("v"))
+    return e.join(after, "vec_id").select(F.expr("vec_id div 32").alias("batch"), F.col("vec_id").alias("q"), F.col("embedding").alias("qv"), "v")
+
+
+def _dialogues(s, d):
+    """Answers as knowledge, the turns before as context; the topic is the answer's second word."""
+    g = C.gathered(table(s, d, "conversations")).select(F.col("conv_id").alias("id"), "m", F.posexplode("m").alias("i", "x")).where("x.role = 'assistant' and i > 0")
+    return g.select("id", F.split("x.content", " ")[1].alias("topic"), F.transform(F.slice("m", F.lit(1), F.col("i")), lambda t: t["content"]).alias("context"), F.col("x.content").alias("knowledge"), F.col("x.content").alias("response"))
+
+
+def _preferences(s, d):
+    """The next conversation's answer is the one rejected."""
+    g = C.gathered(table(s, d, "conversations")).select("conv_id", *[x.alias(n) for x, n in zip(C.first_pair(F.col("m")), ("prompt", "chosen"))])
+    g = g.join(g.select((F.col("conv_id") - 1).alias("conv_id"), F.col("chosen").alias("rejected")), "conv_id")
+    return g.select("conv_id", *[F.md5(x).alias(n) for x, n in zip(C.preference_row(F.col("prompt"), F.col("chosen"), F.col("rejected")), ("prompt", "chosen", "rejected"))])
+
+
 _IMG = "(select doc_id, unnest(list_transform(range(0, doc_id % 4 + 1), lambda i: 'img/' || (doc_id + i) || '.jpg')) as image from documents)"
 _LIST = "(select 'img/' || doc_id || '.jpg' from documents where doc_id % 7 <> 0)"
 _MISS = f"select doc_id, image from {_IMG} where image not in {_LIST}"
@@ -88,11 +108,11 @@ QUERIES = {
     "V2_top_k_reversed": lambda s, d: _neigh(s, d).where("rank <= 10").select("query_id", "vec_id", (11 - F.col("rank")).alias("place")),
     "V3_merged_shards": lambda s, d: V.merged_shards(table(s, d, "embeddings").where("vec_id % 2 = 0"), table(s, d, "embeddings").where("vec_id % 2 = 1")).select("vec_id", "label"),
     "V9_differences": lambda s, d: V.differences(docs(s, d).select("doc_id", "lang"), docs(s, d).select("doc_id", F.when(F.col("doc_id") % 50 == 0, "xx").otherwise(F.col("lang")).alias("lang"))),
-    "A6_gold_rank": lambda s, d: _neigh(s, d).where("query_id <> vec_id").withColumn("gold", F.min("vec_id").over(Window.partitionBy("query_id"))).where("vec_id = gold").agg(F.round(F.avg("rank"), 6).alias("mean_rank"), F.count_if(F.col("rank") <= 5).alias("top5")),
-    "A8_all_correct": lambda s, d: A.all_correct(docs(s, d).select("source", (F.col("n_chars") > 60).alias("ok")), "source", "ok"),
+    "A6_gold_rank": lambda s, d: A.rank_summary(A.in_batch_ranks(_batches(s, d), V.inner(F.col("qv"), F.col("other"))), 1, 5),
+    "A8_all_correct": lambda s, d: A.all_correct(docs(s, d).join(table(s, d, "labels"), "doc_id").select(F.expr("doc_id div 4").alias("sample"), ((F.col("n_chars") >= 500).cast("int") == F.col("quality")).alias("ok")), "sample", "ok"),
     "A10_ensemble": lambda s, d: A.ensemble(_models(s, d), 2).select("uid", "cls", F.round("mean", 9).alias("mean")),
-    "VA11_topic_prompts": lambda s, d: docs(s, d).where(F.size(words(F.col("text"))) > 20).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(F.sort_array(F.collect_list("doc_id")), lambda x: x.cast("string")), ",").alias("ids")),
-    "VA12_preference_rows": lambda s, d: C.gathered(table(s, d, "conversations")).select("conv_id", *[x.alias(n) for x, n in zip(C.first_pair(F.col("m")), ("prompt", "chosen"))]).withColumn("rejected", F.reverse("chosen")),
+    "VA11_topic_prompts": lambda s, d: C.dialogue_examples(_dialogues(s, d), _dialogues(s, d).where("id % 5 = 0").select("topic")).select("id", "topic", F.md5("instance").alias("instance"), F.md5("dialog").alias("dialog"), "known"),
+    "VA12_preference_rows": lambda s, d: _preferences(s, d),
     "X2_legacy_requests": lambda s, d: docs(s, d).groupBy("source").agg(F.count(F.lit(1)).alias("n")).select("source", F.ceil(F.lit(1000.0) * (F.col("n") / 997.0) * 1.005).alias("asked")),
 }
 
@@ -123,10 +143,23 @@ ORACLES = {
     "T1_sentence_split": "select doc_id, len(regexp_extract_all(text, '[^.!?]+[.!?]*'))::int as n, md5(array_to_string(regexp_extract_all(text, '[^.!?]+[.!?]*'), '|')) as s from documents",
     "V3_merged_shards": "select vec_id, label from embeddings",
     "V9_differences": "select doc_id, lang, 'a' as side from documents where doc_id % 50 = 0 union all select doc_id, 'xx' as lang, 'b' as side from documents where doc_id % 50 = 0",
-    "A8_all_correct": "select source, bool_and(n_chars > 60) as all_correct from documents group by source",
+    "A6_gold_rank": """with p as (select a.vec_id // 32 as batch, a.vec_id as q, a.embedding as qv, b.embedding as v from embeddings a join embeddings b on b.vec_id = a.vec_id + 1),
+s as (select a.batch, a.q, b.q as item, list_sum(list_transform(range(1, len(a.qv) + 1), lambda i: a.qv[i]::double * b.v[i]::double)) as s from p a join p b using (batch)),
+r as (select q, (select count(*) from s x where x.batch = s.batch and x.q = s.q and (x.s > s.s or (x.s = s.s and x.item < s.item))) + 1 as rank from s where q = item)
+select round(avg(rank), 9) as mean_rank, round(avg((rank <= 1)::int), 9) as top1, round(avg((rank <= 5)::int), 9) as top5 from r""",
+    "A8_all_correct": "select doc_id // 4 as sample, bool_and((n_chars >= 500)::int = quality) as all_correct from documents join labels using (doc_id) group by 1",
     "A10_ensemble": """with m as (select doc_id as uid, (n_chars % 97 / 97.0::double + doc_id % 79 / 79.0::double) / 2 as a, (n_chars % 89 / 89.0::double + doc_id % 83 / 83.0::double) / 2 as b from labels join documents using (doc_id))
 select uid, case when b > a then 1 else 0 end as cls, round(greatest(a, b), 9) as mean from m""",
-    "VA11_topic_prompts": f"select source, count(*) as n, string_agg(doc_id::varchar, ',' order by doc_id) as ids from documents where len(regexp_extract_all(lower(text), '{W}+')) > 20 group by source",
-    "VA12_preference_rows": f"select conv_id, list_filter(m, lambda x: x.role = 'user')[1].content as prompt, list_filter(m, lambda x: x.role = 'assistant')[1].content as chosen, reverse(list_filter(m, lambda x: x.role = 'assistant')[1].content) as rejected from {_M}",
+    "VA11_topic_prompts": """with o as (select conv_id as id, turn, role, text, row_number() over (partition by conv_id order by turn, role, text) as k, list(text) over (partition by conv_id order by turn, role, text rows between unbounded preceding and 1 preceding) as c from conversations),
+d as (select id, k, string_split(text, ' ')[2] as topic, c[greatest(len(c) - 2, 1):] as last, text as knowledge from o where k > 1 and role = 'assistant'),
+t as (select distinct topic from d where id % 5 = 0),
+g as (select *, topic in (select topic from t) as known from d where topic is not null and knowledge <> 'no_passages_used' and not regexp_matches(knowledge, '[()]') and contains(knowledge, topic))
+select id, topic, md5('( ' || last[len(last)] || ' ) ' || topic || ' => ' || knowledge) as instance, md5('( ' || topic || ' ) ' || array_to_string(last, ' ')) as dialog, known from g
+where known or (len(list_filter(string_split_regex(trim(knowledge), '\\s+'), lambda w: w <> '')) <= 20 and not regexp_matches(knowledge, '^([Ii]t|[Tt]his)'))""",
+    "VA12_preference_rows": f"""with g as (select conv_id, list_filter(m, lambda x: x.role = 'user')[1].content as p, list_filter(m, lambda x: x.role = 'assistant')[1].content as c from {_M})
+select a.conv_id, md5('<|im_start|>user' || chr(10) || a.p || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)) as prompt, md5(a.c || '<|im_end|>' || chr(10)) as chosen, md5(b.c || '<|im_end|>' || chr(10)) as rejected from g a join g b on b.conv_id = a.conv_id + 1""",
+    "V2_top_k_reversed": """with n as (select a.vec_id as query_id, b.vec_id, list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: a.embedding[i]::double * b.embedding[i]::double)) as s from embeddings a, embeddings b where a.vec_id % 50 = 0)
+select query_id, vec_id, (11 - row_number() over (partition by query_id order by s desc, vec_id))::int as place from n qualify row_number() over (partition by query_id order by s desc, vec_id) <= 10""",
+    "S10_rate_spaced": "select doc_id, len(list_distinct(list_transform(range(0, greatest(floor((doc_id % 50 + 0.5::double) * 2)::bigint, 1)), lambda i: least(i * 25 // 2, 699))))::int as n from documents",
     "X2_legacy_requests": "select source, ceil(1000.0 * (count(*) / 997.0::double) * 1.005::double)::bigint as asked from documents group by source",
 }

@@ -102,6 +102,8 @@ ORACLES = {
     "F16_caption_filter": _CAPTION,
     "F18_least_toxic_half": "select doc_id, toxic from labels where toxic is not null order by toxic, doc_id limit (select (count(toxic) // 2)::bigint from labels)",
     "F18_toxicity_summary": "select count(toxic) as n, round(avg(toxic::double), 9) as mean, round(stddev_pop(toxic::double), 9) as std, sum(case when toxic >= 0.5 then 1 else 0 end)::bigint as n_over from labels where toxic is not null",
+    "F19_annotation_text": """with t as (select doc_id, trim(replace(text, '<|endoftext|>', '')) as t from documents), b as (select *, encode(t) as b from t)
+select doc_id, case when length(t) > 0 then md5(case when octet_length(b) <= 20480 then t else coalesce(try(decode(b[1:20480])), try(decode(b[1:20479])), try(decode(b[1:20478])), try(decode(b[1:20477]))) end) end as prepared from b""",
     "F24_length_gate": f"select count(*) filter (len({_WORDS}) <= 512) as n_kept, count(*) filter (len({_WORDS}) > 512) as n_filtered from documents",
     "F25_discard_long": f"select doc_id from documents where len({_WORDS}) <= 1024",
     "P1_ptb_detokenizer": f"select doc_id, md5({_PTB}) as t from documents",

@@ -66,9 +66,9 @@ def test_blend_in_ranges(spark, exhaustive):
 
 def test_blends_have_every_source(spark, sf):
     n = sorted(duckdb.execute(f"select count(*) from '{sf}/documents.parquet' group by source").fetchall())
-    got = registry.QUERIES["B4_exhaustive_blend_all"](spark, sf).groupBy("dataset").count().collect()
+    got = registry.QUERIES["B4_exhaustive_blend"](spark, sf).groupBy("dataset").count().collect()
     assert len(n) > 5 and sorted((r["count"],) for r in got) == n
-    assert registry.QUERIES["B3_greedy_blend_all"](spark, sf).select("dataset").distinct().count() == len(n)
+    assert registry.QUERIES["B3_greedy_blend"](spark, sf).select("dataset").distinct().count() == len(n)
 
 
 def test_patch_grid_of_every_document(spark, sf):
