@@ -152,3 +152,57 @@ def sequential_batches(df: DataFrame, order: Sequence[str], batch: int, ranks: i
 def pooled(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     """The pool each row falls into."""
     return running(df, order).withColumn("pool", F.expr(f"ord div {size}")).drop("ord")
+
+
+def rotation_offsets(lengths: Sequence[int], workers: int) -> list[int]:
+    """The worker that a data set begins at: the rows of those before it, modulo the workers."""
+    at = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else np.zeros(0, int)
+    return [int(x) % max(1, workers) for x in at]
+
+
+def dealt_to_workers(df: DataFrame, order: Sequence[str], workers: int, offset: int = 0) -> DataFrame:
+    """Rows in turn to workers, the first to the one at `offset`."""
+    return running(df, order).withColumn("worker", F.pmod(F.col("ord") + offset, F.lit(workers)).cast("int"))
+
+
+def shuffle_buffered(df: DataFrame, order: Sequence[str], size: int, seed: int = 1) -> DataFrame:
+    """Df with (part, place): each range of rows, in order, goes through a buffer of `size` rows.
+
+    A row that comes takes the place of a random one, which leaves; what is left at the end leaves in random order. A
+    task holds its buffer and a batch, no more, and is seeded by its number, so a repeat gives the same.
+    """
+    names = df.columns
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        rng, held, place = np.random.default_rng([seed, part]), [], 0
+        for d in batches:
+            gone = []
+            for row in d.itertuples(index=False, name=None):
+                if len(held) < size:
+                    held.append(row)
+                    continue
+                k = int(rng.integers(size))
+                gone.append(held[k])
+                held[k] = row
+            yield pd.DataFrame(gone, columns=names).assign(part=part, place=range(place, place + len(gone)))
+            place += len(gone)
+        rest = [held[k] for k in rng.permutation(len(held))]
+        yield pd.DataFrame(rest, columns=names).assign(part=part, place=range(place, place + len(rest)))
+
+    ship(df.sparkSession)
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return dealt.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", part int, place long")
+
+
+def epoch_of(df: DataFrame, order: Sequence[str], length: int, epoch: int) -> DataFrame:
+    """The rows of a virtual epoch: `length` places on, beginning anew behind the last row; adds `place`."""
+    n = df.count()
+    if not n:
+        return df.withColumn("place", F.lit(0).cast("long"))
+    first = epoch * length
+    r = running(df, order)
+    turns = F.sequence(F.lit(first // n).cast("long"), F.lit((first + length - 1) // n).cast("long"))
+    return r.withColumn("_turn", F.explode(turns)).withColumn("place", F.col("_turn") * n + F.col("ord") - first).where((F.col("place") >= 0) & (F.col("place") < length)).drop("_turn", "ord")

@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import words
@@ -30,6 +30,16 @@ def ngram_dictionary(items: DataFrame, text_col: str = "text") -> DataFrame:
     return items.select(F.explode(made).alias("ngram")).distinct().withColumn("size", F.size(F.split("ngram", " ")))
 
 
+def save_dictionary(dictionary: DataFrame, path: str) -> None:
+    """C11."""
+    dictionary.select("ngram", "size").write.mode("overwrite").parquet(path)
+
+
+def load_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """C11."""
+    return spark.read.schema("ngram string, size int").parquet(path)
+
+
 def length_histogram(dictionary: DataFrame) -> DataFrame:
     """C4."""
     return dictionary.groupBy("size").agg(F.count(F.lit(1)).alias("n"))

@@ -113,3 +113,14 @@ def without_duplicates(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id
     """The smallest id of each group stays."""
     gone = groups.where("id <> component").select(F.col("id").alias("_gone"))
     return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+
+
+def keyed_sources(sources: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """(id, source, text) of several (name, table, key column, text column); an id is name:key, so keys may repeat."""
+    out = None
+    for name, df, key, text in sources:
+        t = df.select(F.concat(F.lit(f"{name}:"), F.col(key).cast("string")).alias("id"), F.lit(name).alias("source"), F.col(text).alias("text"))
+        out = t if out is None else out.unionByName(t)
+    if out is None:
+        raise ValueError("no sources")
+    return out

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import struct
+import zlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .ordinal import running
 
 BOX = r"\[\s*([0-9.]+)\s*,\s*([0-9.]+)\s*,\s*([0-9.]+)\s*,\s*([0-9.]+)\s*\]"
@@ -97,3 +104,90 @@ def frame_rows(samples: DataFrame, key: str, frames: str, fps: float, digits: in
     """(key, i, at, label) of every frame."""
     at = F.bround(F.col("i") / F.lit(fps), digits)
     return samples.select(key, F.posexplode(frames).alias("i", "_f")).select(key, "i", at.alias("at"), F.format_string(f"<%.{digits}f s>", at).alias("label"))
+
+
+def regular_size(w: Column, h: Column) -> tuple[Column, Column]:
+    """At least 28 a side; a side over 200 times the other becomes 180 times it."""
+    w, h = F.greatest(w, F.lit(28)), F.greatest(h, F.lit(28))
+    wide, tall = w / h > 200, h / w > 200
+    return F.when(wide, h * 180).otherwise(w), F.when(tall, w * 180).otherwise(h)
+
+
+# How image files begin, and how JPEG files end.
+SIGNATURES = (b"\x89PNG\r\n\x1a\n", b"\xff\xd8\xff", b"GIF87a", b"GIF89a", b"BM", b"RIFF", b"II*\x00", b"MM\x00*")
+JPEG_END = b"\xff\xd9"
+
+
+def image_fine(data: bytes | None) -> bool:
+    """no image is empty, of an unknown kind, cut off or black all over.
+
+    PNG files are unpacked; of others only what shows without a decoder is looked at: signature, JPEG end, BMP pixels.
+    """
+    if not data or not data.startswith(SIGNATURES):
+        return False
+    if data.startswith(SIGNATURES[0]):
+        return _png_fine(data)
+    if data.startswith(b"\xff\xd8"):
+        return data.rstrip(b"\x00").endswith(JPEG_END)
+    if data.startswith(b"BM"):
+        at = struct.unpack_from("<I", data, 10)[0] if len(data) >= 14 else len(data)
+        return any(data[at:])
+    return True
+
+
+def _png_fine(data: bytes) -> bool:
+    packed, at, ended, colour = [], 8, False, None
+    while at + 8 <= len(data):
+        size, kind = struct.unpack_from(">I4s", data, at)
+        body = data[at + 8 : at + 8 + size]
+        if len(body) < size:
+            return False
+        if kind == b"IHDR":
+            colour = body[9]
+        elif kind == b"IDAT":
+            packed.append(body)
+        elif kind == b"IEND":
+            ended = True
+        at += 12 + size
+    try:
+        raw = zlib.decompress(b"".join(packed))
+    except zlib.error:
+        return False
+    # palettes say nothing about black, so any index counts there
+    return ended and bool(raw) and (colour == 3 or any(raw.strip(b"\x00")))
+
+
+def image_ok(content: Column) -> Column:
+    """F17 as a column."""
+
+    @F.pandas_udf("boolean")
+    def run(x: pd.Series) -> pd.Series:
+        return x.map(lambda v: image_fine(None if v is None else bytes(v)))
+
+    return run(content)
+
+
+def copied(files: DataFrame, folder: str) -> DataFrame:
+    """(path, target, n_bytes) of files(path, content, unique_name) written into a shared folder under their unique names.
+
+    Each is written beside its name and then moved there, so a repeat leaves the same files. Recoding needs a decoder:
+    a column that holds recoded bytes may stand for content.
+    """
+    os.makedirs(folder, exist_ok=True)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        attempt = TaskContext.get().taskAttemptId()
+        for d in batches:
+            rows = []
+            for path, content, name in zip(d["path"], d["content"], d["unique_name"], strict=True):
+                target = f"{folder}/{name}"
+                with open(f"{target}.{attempt}.tmp", "wb") as f:
+                    f.write(content)
+                os.replace(f"{target}.{attempt}.tmp", target)
+                rows.append((path, target, len(content)))
+            yield pd.DataFrame(rows, columns=["path", "target", "n_bytes"])
+
+    ship(files.sparkSession)
+    return files.select("path", "content", "unique_name").mapInPandas(run, "path string, target string, n_bytes long")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,3 +70,64 @@ def cells(vectors: DataFrame, k: int = 16, seed: int = 1, sample: int = 50_000,
     x = vectors.select(F.col(id_col).alias("vec_id"), array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
     model = KMeans(k=k, seed=seed, maxIter=10).fit(x.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample))
     return model.transform(x).select("vec_id", F.col("prediction").alias("cell"))
+
+
+def embedded(df: DataFrame, encoder: Callable[[list[str]], np.ndarray], id_col: str, text_col: str, batch: int = 64) -> DataFrame:
+    """(id, embedding): encoder gets texts in batches sorted by length (so padding stays small) and gives a row for each.
+
+    The model's forward pass is the caller's; a null text is an empty one.
+    """
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for d in batches:
+            texts = d["text"].fillna("").tolist()
+            order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+            out: list = [None] * len(texts)
+            for at in range(0, len(order), batch):
+                some = order[at : at + batch]
+                for i, v in zip(some, np.asarray(encoder([texts[i] for i in some]), np.float32), strict=True):
+                    out[i] = v
+            yield pd.DataFrame({"id": d["id"], "embedding": out})
+
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, embedding array<float>")
+
+
+class FlatIndex:
+    """Exact search."""
+
+    def add(self, rows: DataFrame) -> FlatIndex:
+        self.rows = rows
+        return self
+
+    def search(self, queries: DataFrame, k: int) -> DataFrame:
+        return top_inner_products(queries, self.rows, k)
+
+
+class CellIndex:
+    """Search in the query's own coarse cell; cells are trained on a bounded sample, every row is assigned."""
+
+    def __init__(self, n: int = 16):
+        self.n = n
+
+    def add(self, rows: DataFrame) -> CellIndex:
+        self.rows = rows
+        self.cells = cells(rows, self.n)
+        return self
+
+    def search(self, queries: DataFrame, k: int) -> DataFrame:
+        of = self.rows.join(self.cells, "vec_id").select("vec_id", F.col("embedding").alias("v"), "cell")
+        q = of.join(queries.select("vec_id"), "vec_id", "left_semi").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "cell")
+        s = of.join(q, "cell").select("query_id", "vec_id", inner(F.col("q"), F.col("v")).alias("score"))
+        w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+INDEXES: dict[str, Callable] = {"flat": FlatIndex, "cells": CellIndex}
+
+
+def index_of(name: str, **how):
+    """An index by the name of its kind."""
+    if name not in INDEXES:
+        raise ValueError(f"no index {name}; there are {sorted(INDEXES)}")
+    return INDEXES[name](**how)

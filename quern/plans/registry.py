@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("text", "dedup", "windows", "chat", "extra", "samples")
+FAMILIES = ("text", "dedup", "windows", "chat", "extra", "samples", "more")
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 for _name in FAMILIES:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FORMATS = {x: x for x in ("csv", "json", "orc", "parquet")} | {"jsonl": "json", "txt": "text"}
@@ -87,3 +87,21 @@ def tar_counts(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """IO18: (tar, n) of `name.tar : n` lines."""
     form = r"^\s*(\S+\.tar)\s*:\s*(\d+)\s*$"
     return lines.where(F.col(line_col).rlike(form)).select(F.regexp_extract(line_col, form, 1).alias("tar"), F.regexp_extract(line_col, form, 2).cast("long").alias("n"))
+
+
+def python_strings(text: Column) -> Column:
+    """The quoted strings of a Python list literal; nothing is evaluated."""
+    found = F.regexp_extract_all(text, F.lit(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*["]"""), F.lit(0))
+    inner = lambda x: F.substring(x, F.lit(2), F.length(x) - 2)
+    return F.transform(found, lambda x: F.regexp_replace(inner(x), r"\\(.)", "$1"))
+
+
+def questions(df: DataFrame) -> DataFrame:
+    """(question, answers) of tab-separated questions with a Python list of answers, as read by tsv."""
+    return df.select(F.col("c0").alias("question"), python_strings(F.col("c1")).alias("answers"))
+
+
+def retrieval_samples(rows: DataFrame) -> DataFrame:
+    """(question, answers, positive, hard_negatives, negatives) of supervised JSON rows; the first positive counts."""
+    normal = F.regexp_replace("question", r"\?$", "")
+    return rows.select(normal.alias("question"), "answers", F.get("positive_ctxs", F.lit(0)).alias("positive"), F.col("hard_negative_ctxs").alias("hard_negatives"), F.col("negative_ctxs").alias("negatives"))

@@ -1,21 +1,29 @@
 """Indexed token stores (M2, IO9 to IO11): .bin holds the tokens, .idx lengths, pointers, documents and modes.
 
-`register` adds the format "indexed_tokens" (a Python data source): reading splits the sequences into ranges; paths must
-be readable with plain file calls on every executor (a mounted store). Writing goes from a table to one pair of files per
-call on the driver's side of the shared folder, in sorted order, streaming a partition at a time.
+`register` adds the format "indexed_tokens" (a Python data source): reading splits the sequences into ranges, and a task
+maps the files and touches its own range only. Writing is done by all executors: every sequence's place in both files
+follows from running sums, so tasks write side by side into files of the final size, and a repeated task writes the
+same bytes again. Paths are in a folder that all executors share (a mounted store; `stores.fetched` brings files there).
 """
 
 from __future__ import annotations
 
+import os
 import struct
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..operators.ordinal import running
+from ..session import ship, stage
+
+# How an index begins, and its type codes.
 MAGIC = b"MMIDIDX\x00\x00"
+HEAD = 34
 DTYPES = {1: np.uint8, 2: np.int8, 3: np.int16, 4: np.int32, 5: np.int64, 6: np.float64, 7: np.float32, 8: np.uint16}
 
 
@@ -25,23 +33,24 @@ def dtype_code(vocabulary: int | None) -> int:
 
 
 class Index:
-    """What an .idx file says."""
+    """What an .idx file says; the arrays are mapped, so only what is looked at is read."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
-            raw = f.read()
-        if raw[:9] != MAGIC:
+            head = f.read(HEAD)
+        if head[:9] != MAGIC:
             raise ValueError(f"{path} is no index")
-        version, code, n, docs = struct.unpack_from("<QBQQ", raw, 9)
+        version, code, n, docs = struct.unpack_from("<QBQQ", head, 9)
         if version != 1:
             raise ValueError(f"{path}: version {version}")
-        at = 9 + 25
         self.dtype = np.dtype(DTYPES[code])
-        self.lengths = np.frombuffer(raw, np.int32, n, at)
-        self.pointers = np.frombuffer(raw, np.int64, n, at + 4 * n)
-        self.documents = np.frombuffer(raw, np.int64, docs, at + 12 * n)
-        rest = at + 12 * n + 8 * docs
-        self.modes = np.frombuffer(raw, np.int8, n, rest) if len(raw) >= rest + n and n else None
+        size = os.path.getsize(path)
+        part = lambda kind, many, at: np.memmap(path, kind, "r", at, many) if many else np.zeros(0, kind)
+        self.lengths = part(np.int32, n, HEAD)
+        self.pointers = part(np.int64, n, HEAD + 4 * n)
+        self.documents = part(np.int64, docs, HEAD + 12 * n)
+        rest = HEAD + 12 * n + 8 * docs
+        self.modes = part(np.int8, n, rest) if size >= rest + n and n else None
 
 
 class Sequences(InputPartition):
@@ -61,12 +70,11 @@ class TokenReader(DataSourceReader):
     def read(self, partition: Sequences) -> Iterator[tuple]:
         index = Index(f"{self.prefix}.idx")
         doc = np.searchsorted(index.documents, np.arange(partition.lo, partition.hi), "right") - 1
-        with open(f"{self.prefix}.bin", "rb") as f:
-            for i in range(partition.lo, partition.hi):
-                f.seek(int(index.pointers[i]))
-                tokens = np.frombuffer(f.read(int(index.lengths[i]) * index.dtype.itemsize), index.dtype)
-                mode = int(index.modes[i]) if index.modes is not None else None
-                yield int(doc[i - partition.lo]), i, mode, [int(x) for x in tokens]
+        raw = np.memmap(f"{self.prefix}.bin", np.uint8, "r") if os.path.getsize(f"{self.prefix}.bin") else np.zeros(0, np.uint8)
+        for i in range(partition.lo, partition.hi):
+            at, n = int(index.pointers[i]), int(index.lengths[i]) * index.dtype.itemsize
+            mode = int(index.modes[i]) if index.modes is not None else None
+            yield int(doc[i - partition.lo]), i, mode, raw[at : at + n].view(index.dtype).tolist()
 
 
 class IndexedTokens(DataSource):
@@ -82,33 +90,50 @@ class IndexedTokens(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    from ..session import ship
-
     ship(spark)
     spark.dataSource.register(IndexedTokens)
 
 
 def write(df: DataFrame, prefix: str, code: int = 4, modes: bool = False) -> None:
     """IO10: (doc_id, seq_no, tokens[, mode]) in order of doc_id and seq_no."""
-    kind = np.dtype(DTYPES[code])
-    lengths, documents, mode, before = [], [0], [], None
-    cols = ["doc_id", "seq_no", "tokens", *(["mode"] if modes else [])]
-    with open(f"{prefix}.bin", "wb") as f:
-        for r in df.select(*cols).orderBy("doc_id", "seq_no").toLocalIterator():
-            if before is not None and r.doc_id != before:
-                documents.append(len(lengths))
-            before = r.doc_id
-            f.write(np.asarray(r.tokens, kind).tobytes())
-            lengths.append(len(r.tokens))
-            if modes:
-                mode.append(r.mode or 0)
-    if before is not None:
-        documents.append(len(lengths))
-    size = np.asarray(lengths, np.int64) * kind.itemsize
-    pointers = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64) if len(size) else np.zeros(0, np.int64)
-    with open(f"{prefix}.idx", "wb") as f:
-        f.write(MAGIC + struct.pack("<QBQQ", 1, code, len(lengths), len(documents)))
-        f.write(np.asarray(lengths, np.int32).tobytes() + pointers.tobytes() + np.asarray(documents, np.int64).tobytes() + np.asarray(mode, np.int8).tobytes())
+    kind, spark = np.dtype(DTYPES[code]), df.sparkSession
+    mode = F.coalesce(F.col("mode"), F.lit(0)).cast("int") if modes else F.lit(0)
+    rows = df.select("doc_id", "seq_no", F.coalesce("tokens", F.expr("cast(array() as array<bigint>)")).cast("array<bigint>").alias("tokens"), mode.alias("mode"))
+    placed = stage(running(rows, ["doc_id", "seq_no"], {"begin": "size(tokens)"}), "sequences")
+    n, total = placed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()
+    ends = stage(running(placed.groupBy("doc_id").agg((F.max("ord") + 1).alias("end")), ["doc_id"], ordinal="nr"), "documents")
+    docs = ends.count() + 1
+    for name, size in ((f"{prefix}.bin", total * kind.itemsize), (f"{prefix}.idx", HEAD + 12 * n + 8 * docs + n * modes)):
+        with open(name, "wb") as f:
+            f.truncate(size)
+    with open(f"{prefix}.idx", "r+b") as f:
+        f.write(MAGIC + struct.pack("<QBQQ", 1, code, n, docs))
+
+    def put(f, at: int, values, kind) -> None:
+        f.seek(at)
+        f.write(np.asarray(values, kind).tobytes())
+
+    def sequences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with open(f"{prefix}.bin", "r+b") as data, open(f"{prefix}.idx", "r+b") as index:
+            for d in batches:
+                for at, begin, tokens, m in zip(d["ord"], d["begin"], d["tokens"], d["mode"], strict=True):
+                    put(data, begin * kind.itemsize, tokens, kind)
+                    put(index, HEAD + 4 * at, [len(tokens)], np.int32)
+                    put(index, HEAD + 4 * n + 8 * at, [begin * kind.itemsize], np.int64)
+                    if modes:
+                        put(index, HEAD + 12 * n + 8 * docs + at, [m], np.int8)
+                yield pd.DataFrame({"n": [len(d)]})
+
+    def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with open(f"{prefix}.idx", "r+b") as index:
+            for d in batches:
+                for nr, end in zip(d["nr"], d["end"], strict=True):
+                    put(index, HEAD + 12 * n + 8 * (nr + 1), [end], np.int64)
+                yield pd.DataFrame({"n": [len(d)]})
+
+    ship(spark)
+    placed.select("ord", "begin", "tokens", "mode").mapInPandas(sequences, "n long").agg(F.sum("n")).collect()
+    ends.select("nr", "end").mapInPandas(documents, "n long").agg(F.sum("n")).collect()
 
 
 def sliced(df: DataFrame, offset: int, length: int | None = None) -> DataFrame:
