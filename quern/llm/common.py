@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 #: Python stages look at this many bytes of text at a time (one longer document is taken whole).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def ascii_lower(c: F.Column | str) -> F.Column:
@@ -24,9 +27,20 @@ def ascii_lower(c: F.Column | str) -> F.Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def _trimmed(batches: Iterator[pa.RecordBatch], f: Callable) -> Iterator[pa.RecordBatch]:
+    """f's batches; then what the worker has freed goes back to the system, as workers live on between stages."""
+    yield from f(batches)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def arrow_map(df: DataFrame, f: Callable, schema: str) -> DataFrame:
     ship(df.sparkSession)
-    return df.mapInArrow(f, schema)
+    return df.mapInArrow(partial(_trimmed, f=f), schema)
 
 
 def drawn(df: DataFrame, most: int, id_col: str = "id", *ties: str) -> DataFrame:

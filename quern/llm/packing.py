@@ -53,7 +53,8 @@ class Packer:
             start += tokens
         while start < total:
             end = min(total, start + tokens)
-            self._wait((doc, start, ids[start:end], None if loss is None else loss[start:end], total))
+            # a copy: what waits must not keep the whole array it was cut from
+            self._wait((doc, start, ids[start:end].copy(), None if loss is None else loss[start:end].copy(), total))
             start = end
             while len(self.items) > self.waiting:
                 self._place()
@@ -191,7 +192,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, tokens: int
         for lo, hi, data, offs in text_chunks(b, "text"):
             ids, at = encode_texts(data, offs, path, end_id)
             for doc, s, e in zip(b.column(0).slice(lo, hi - lo).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
-                p.add(doc, ids[s:e].copy() if e - s < tokens else ids[s:e])
+                p.add(doc, ids[s:e])
             if p.out:
                 yield _rows(p, base, with_ids, kind)
     p.finish()

@@ -103,27 +103,37 @@ def merged(model, text: str) -> list:
 
 
 class Cached:
-    """For each distinct pre-token what `make(list of strings)` gives, kept by hash for a bounded number of them."""
+    """For each distinct pre-token what `make(list of strings)` gives, kept by hash for at most `most` of them.
 
-    def __init__(self, make, most: int = 500_000):
-        self.make, self.most, self.known = make, most, {}
+    There are two generations: when the young one is half of what may be kept it becomes the old one, and what is asked
+    for again moves back, so common pre-tokens stay and the many that come once go.
+    """
+
+    def __init__(self, make, most: int = 120_000):
+        self.make, self.most, self.known, self.old = make, most, {}, {}
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list]:
         """The number of its distinct pre-token for each span, and the values by that number."""
         codes, distinct = pd.factorize(span_hashes(data, starts, ends))
         keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.known]
+        known, old, out, new = self.known, self.old, [], []
+        for i, k in enumerate(keys):
+            v = known.get(k)
+            if v is None and (v := old.get(k)) is not None:
+                known[k] = v
+            if v is None:
+                new.append(i)
+            out.append(v)
         if new:
-            if len(self.known) + len(new) > self.most:
-                self.known.clear()
-                new = list(range(len(keys)))
             at = np.empty(len(keys), np.int64)
             at[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)  # the first place of each
             raw = data.tobytes()
             texts = [raw[starts[at[i]] : ends[at[i]]].decode() for i in new]
             for i, v in zip(new, self.make(texts), strict=True):
-                self.known[keys[i]] = v
-        return codes, [self.known[k] for k in keys]
+                out[i] = known[keys[i]] = v
+        if len(known) > self.most // 2:
+            self.old, self.known = known, {}
+        return codes, out
 
 
 def split_plain(data: np.ndarray, offs: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
