@@ -80,15 +80,17 @@ def join_counted(rows: DataFrame, facts: DataFrame, keys: list[str], count: str,
     """rows joined with facts (one row for each key; `count` says how many rows have it, `total` how many there are).
 
     A key that more than a HEAVY-th of all rows have would make one task too large. Fewer than HEAVY keys can be like
-    that, so theirs are broadcast, a proven bound, and only the rows of the other keys are shuffled. HEAVY facts or
-    fewer are broadcast as they are. facts is read several times and best a staged table.
+    that: digests of theirs (a bounded list) tell the rows that meet their facts by broadcast from those that are
+    shuffled. HEAVY facts or fewer are broadcast as they are. facts is read several times and best a staged table.
     """
     if facts.count() <= HEAVY:
         return rows.join(F.broadcast(facts), keys, how)
-    marked = facts.withColumn("_heavy", F.col(count) * HEAVY > total)
-    heavy = F.broadcast(marked.where("_heavy"))
-    light = rows.join(F.broadcast(marked.where("_heavy").select(*keys)), keys, "left_anti").join(marked.where("not _heavy"), keys, how)
-    return rows.join(heavy, keys).unionByName(light).drop("_heavy")
+    digest = F.xxhash64(*keys)
+    heavy = [r[0] for r in facts.where(F.col(count) * HEAVY > total).select(digest).collect()]
+    if not heavy:
+        return rows.join(facts, keys, how)
+    apart = digest.isin(heavy)
+    return rows.where(apart).join(F.broadcast(facts.where(apart)), keys, how).unionByName(rows.where(~apart).join(facts.where(~apart), keys, how))
 
 
 # Arrow strings as one byte array
