@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordinal import running
 from ..session import shuffle_partitions
-from .common import WORD, fresh, join_counted, row_digest, stage
+from .common import HEAVY, WORD, fresh, join_counted, row_digest, stage
 
 #: Packets of the copy that is in service when its source has its target.
 PACKETS = 1024
@@ -39,13 +39,15 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), cap:
     """(source, source_size, docs, nr, before, target, budget) from (source, source_size, docs).
 
     nr: the source's place; before: words of the sources before it. The level is where the water stands: sources whose
-    cap lies below it are full, the others hold their weight's share.
+    cap lies below it are full, the others hold their weight's share. sizes is read twice and best a staged table.
     """
+    # few sources need no more than one range, and so one file
+    n = min(shuffle_partitions(sizes.sparkSession), 1 + sizes.count() // HEAVY)
     w = F.array(*[F.lit(float(x)) for x in weights])
-    t = running(sizes.withColumn("none", F.col("source").isNull()), ["none", "source"], {"before": "source_size"}, "nr").drop("none")
+    t = running(sizes.withColumn("none", F.col("source").isNull()), ["none", "source"], {"before": "source_size"}, "nr", n).drop("none")
     t = stage(t.withColumn("weight", F.get(w, F.col("nr") % len(weights))).withColumn("most", F.lit(cap) * F.col("source_size")).withColumn("level", F.col("most") / F.col("weight")), "sources")
     budget, all_weights = t.agg(F.sum("source_size"), F.sum("weight")).first()
-    t = running(t, ["level", "nr"], {"full_before": "most", "weight_before": "weight"}, None)
+    t = running(t, ["level", "nr"], {"full_before": "most", "weight_before": "weight"}, None, n)
     t = stage(t.withColumn("rate", (F.lit(budget).cast("long") - F.col("full_before")) / (F.lit(all_weights) - F.col("weight_before"))), "rates")
     water = t.where("rate <= level").agg(F.max("rate")).first()[0]
     share = F.lit(float(water)) * F.col("weight") if water is not None else F.col("most").cast("double")
@@ -62,15 +64,15 @@ def fair_queue(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sourc
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.concat(F.lit("null:"), F.col("rd").cast("string")))))
     items = stage(items.select("*", digest.alias("digest"), F.monotonically_increasing_id().alias("row")), "items")
     sizes = items.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
-    targets = stage(source_targets(stage(sizes, "sizes"), weights, cap), "targets")
+    targets = source_targets(stage(sizes, "sizes"), weights, cap)
 
     # nulls are no join keys, so a source goes by its name with a mark before it
     named = lambda df: df.withColumn("name", F.coalesce(F.concat(F.lit("+"), "source"), F.lit("-"))).drop("source")
     told = join_counted(named(items), stage(named(targets), "targets"), ["name"], "docs", items.count())
-    told = running(told, ["nr", "digest", "id", "rd", "row"], {"words_before": "size"}, None)
-    told = stage(told.withColumn("start", F.col("words_before") - F.col("before")), "queued")
+    queued = running(told.drop("name", "docs"), ["nr", "digest", "id", "rd", "row"], {"words_before": "size"}, None)
+    queued = queued.withColumn("start", F.col("words_before") - F.col("before"))
 
-    copies = told.withColumn("r", F.explode(F.expr(f"sequence(0, {cap - 1})"))).withColumn("start", F.col("start") + F.col("r") * F.col("source_size"))
+    copies = queued.withColumn("r", F.explode(F.expr(f"sequence(0, {cap - 1})"))).withColumn("start", F.col("start") + F.col("r") * F.col("source_size"))
     copies = copies.where("size > 0 and start < target")
     width = F.when(F.col("start") + F.col("size") <= F.col("target"), F.col("size")).otherwise(F.ceil(F.col("size") / PACKETS))
     at = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.col("width")))

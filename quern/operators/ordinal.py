@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from ..session import shuffle_partitions, stage
 
 
-def running(df: DataFrame, order: Sequence[str], sums: dict[str, str] | None = None, ordinal: str | None = "ord") -> DataFrame:
+def running(df: DataFrame, order: Sequence[str], sums: dict[str, str] | None = None, ordinal: str | None = "ord", ranges: int | None = None) -> DataFrame:
     """df with `ordinal` (from 0) and, for each name in sums, the sum of that SQL expression over all rows before.
 
     Rows are dealt out by range of `order` (which must be unique), every range is summed, the sums of the ranges before
-    are added to running sums inside the range. The ranges' sums are one row per partition.
+    are added to running sums inside the range. The ranges' sums are one row per partition. ranges: how many there are,
+    if not as many as shuffle partitions; each with rows is a file of the staged table.
     """
     want = {ordinal: "1"} if ordinal else {}
     want |= sums or {}
-    n = shuffle_partitions(df.sparkSession)
+    n = ranges or shuffle_partitions(df.sparkSession)
     dealt = df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
     dealt = stage(dealt, "ranges")
     per = dealt.groupBy("_range").agg(*[F.sum(F.expr(e)).alias(f"_t_{k}") for k, e in want.items()])

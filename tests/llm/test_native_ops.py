@@ -4,14 +4,16 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from quern.llm.chat_collapse import format_chats
 from quern.llm.line_dedup import keep_lines, line_bitmaps
 from quern.llm.quality_rules import apply_rules, measures
 from quern.llm.source_mix import fair_queue, mixed_documents
-from quern.session import table
+from quern.session import shared_dir, table
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, id string, h int"
 LONG = "A line that is long enough to count 1"
@@ -132,6 +134,17 @@ def test_mix(spark, sf):
     assert fair_queue(odd_docs(spark).limit(0)).count() == 0 and mixed_documents(odd_docs(spark).limit(0)).count() == 0
 
 
+def test_mix_stages_few_files(spark):
+    """A table with a row per source is one file, and the queue is staged once: each file costs executors a process."""
+    many = docs(spark, [(k, "a b c " * (k % 7), f"s{k % 8}") for k in range(800)])
+    folder = Path(shared_dir(spark).removeprefix("file://"), "quern")
+    before = set(folder.iterdir()) if folder.exists() else set()
+    assert fair_queue(many).count() == 800
+    tables = [list(t.glob("*.parquet")) for t in set(folder.iterdir()) - before]
+    assert all(len(files) == 1 for files in tables if sum(pq.ParquetFile(f).metadata.num_rows for f in files) <= 8)
+    assert len(tables) <= 9
+
+
 def test_mix_of_rows_alike(spark):
     same = docs(spark, [(1, "a b c", "a"), (1, "a b c", "a"), (2, "d e", "b")])
     assert sum(r.taken for r in fair_queue(same).collect()) == 8
