@@ -3,29 +3,62 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from ..session import ship
+from .nearest import BLOCK_NUMBERS, Vectors
 
 
 def inner(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def top_inner_products(queries: DataFrame, rows: DataFrame, k: int, block: int = 2_000, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def _best_of(batches: Iterator[pa.RecordBatch], held: Broadcast, k: int) -> Iterator[pa.RecordBatch]:
+    """The k best of a task's rows for each query of the block."""
+    ids, vectors = held.value.columns
+    q = None
+    for b in batches:
+        q = q or Vectors(vectors, k, b.column(0).type)
+        q.meet(b.column(0), b.column(1))
+    for at, found, scores in q.found() if q else ():
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), found, scores], ["query_id", "vec_id", "score"])
+
+
+def blocks(queries: DataFrame, vec_col: str, block: int) -> int:
+    """How many blocks keep each at about `block` queries and BLOCK_NUMBERS numbers."""
+    n, numbers = queries.agg(F.count(F.lit(1)), F.sum(F.greatest(F.size(vec_col), F.lit(0)).cast("long"))).first()
+    return max(1, -(-n // block), -(-(numbers or 0) // BLOCK_NUMBERS))
+
+
+def block_of_queries(queries: DataFrame, i: int, n: int) -> Broadcast:
+    """The i-th of n blocks, dealt by a hash of the first column, for Python workers."""
+    held = queries.where(F.pmod(F.xxhash64(queries.columns[0]), F.lit(n)) == i).toArrow().combine_chunks().to_batches()
+    return queries.sparkSession.sparkContext.broadcast(held[0] if held else pa.RecordBatch.from_pylist([], to_arrow_schema(queries.schema)))
+
+
+def top_inner_products(queries: DataFrame, rows: DataFrame, k: int, block: int = 16_384, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """V1, V2: (query_id, rank, vec_id, score), the k largest inner products, ties to the smaller id.
 
-    Stated queries against all rows, in blocks of at most `block` broadcast queries; every task keeps k rows of its own
-    for each query before anything is shuffled.
+    Stated queries against all rows, in blocks of about `block` broadcast queries; every task keeps k rows of its own
+    for each query of a block before anything is shuffled. Queries times rows by nature, so pairs are matrix products;
+    the few that may be among the k best are summed in order (`nearest`), and scores are those of SQL to the last bit.
     """
+    spark = queries.sparkSession
+    ship(spark)
     q = queries.select(F.col(id_col).alias("query_id"), F.col(vec_col).alias("q"))
-    n = max(1, -(-q.count() // block))
-    out = None
+    src = rows.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("v"))
+    kinds = [df.schema[0].dataType.simpleString() for df in (q, src)]
+    n, out = blocks(q, "q", block), None
     for i in range(n):
-        part = F.broadcast(q.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i))
-        s = rows.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("v")).join(part, F.size("q") == F.size("v")).select("query_id", "vec_id", inner(F.col("q"), F.col("v")).alias("score"))
+        s = src.mapInArrow(partial(_best_of, held=block_of_queries(q, i, n), k=k), f"query_id {kinds[0]}, vec_id {kinds[1]}, score double")
         out = s if out is None else out.union(s)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
