@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship, stage
+from ..session import stage
+from .arrow import map_parts
 from .graph import connected_components
+from .shingles import Shingled, least_permuted, shared, texts_of
 
 PRIME = (1 << 31) - 1
 
@@ -22,11 +24,45 @@ def char_shingles(text: Column, n: int = 5) -> Column:
     return F.array_distinct(F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0))))
 
 
+def similarity(both: Column, a: Column, b: Column, over: str = "union") -> Column:
+    """Shared shingles over those of the union, the smaller or the larger set, from their numbers; 0 if a set is empty."""
+    of = {"union": a + b - both, "min": F.least(a, b), "max": F.greatest(a, b)}[over]
+    return F.when((a == 0) | (b == 0), F.lit(0.0)).otherwise(both / F.greatest(of, F.lit(1)))
+
+
 def jaccard(a: Column, b: Column, over: str = "union") -> Column:
-    """Shared shingles over those of the union, the smaller or the larger set; 0 if a set is empty."""
-    both = F.size(F.array_intersect(a, b))
-    of = {"union": F.size(a) + F.size(b) - both, "min": F.least(F.size(a), F.size(b)), "max": F.greatest(F.size(a), F.size(b))}[over]
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(both / F.greatest(of, F.lit(1)))
+    """D2, of two columns of sets."""
+    return similarity(F.size(F.array_intersect(a, b)), F.size(a), F.size(b), over)
+
+
+def _sizes(part: pa.RecordBatch, n: int) -> pa.RecordBatch:
+    s = Shingled(texts_of(part.column(1)), n)
+    windows, place, ends = s.told()
+    first = [int(e) - len(x) for x, e in zip(s.sets, ends)]
+    least = ["".join(map(chr, windows[place[at]])) if len(x) else None for x, at in zip(s.sets, first)]
+    return pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in s.sets], pa.int32()), pa.array(least, pa.string())], ["id", "n", "least"])
+
+
+def shingle_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5) -> DataFrame:
+    """(id, n, least): how many distinct shingles a text has and the least of them; a null text has none."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    return map_parts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), partial(_sizes, n=n), f"id {kind}, n int, least string")
+
+
+def _overlaps(part: pa.RecordBatch, n: int) -> pa.RecordBatch:
+    known: dict[str, int] = {}
+    at = [[known.setdefault(x, len(known)) for x in texts_of(part.column(k))] for k in (-2, -1)]
+    sets = Shingled(list(known), n).sets
+    pairs = [(sets[i], sets[j]) for i, j in zip(*at)]
+    made = [[shared(x, y) for x, y in pairs], [len(x) for x, _ in pairs], [len(y) for _, y in pairs]]
+    return pa.RecordBatch.from_arrays([*part.columns[:-2], *(pa.array(x, pa.int32()) for x in made)], [*part.schema.names[:-2], "both", "na", "nb"])
+
+
+def shingle_overlaps(pairs: DataFrame, n: int = 5) -> DataFrame:
+    """Pairs whose last two columns are texts: instead of these how many shingles both have (`both`), and each (`na`, `nb`)."""
+    names = pairs.columns[:-2]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields[:-2])
+    return map_parts(pairs, partial(_overlaps, n=n), f"{kinds}, both int, na int, nb int").select(*names, "both", "na", "nb")
 
 
 def permutations(n: int, seed: int = 1234) -> list[tuple[int, int]]:
@@ -34,31 +70,23 @@ def permutations(n: int, seed: int = 1234) -> list[tuple[int, int]]:
     return [(rng.randrange(1, PRIME), rng.randrange(0, PRIME)) for _ in range(n)]
 
 
+def _signed(part: pa.RecordBatch, perms: list[tuple[int, int]]) -> pa.RecordBatch:
+    s = Shingled(texts_of(part.column(1)))
+    has = np.flatnonzero([len(x) > 0 for x in s.sets])
+    low = least_permuted(s, *(np.array(x, np.uint64) for x in zip(*perms)), PRIME)[has].astype(np.int64)
+    sig = pa.ListArray.from_arrays(pa.array(np.arange(len(has) + 1) * len(perms), pa.int32()), pa.array(low.reshape(-1)))
+    return pa.RecordBatch.from_arrays([part.column(0).take(pa.array(has)), sig], ["id", "sig"])
+
+
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, perms: int = 100, seed: int = 1234) -> DataFrame:
     """D3: (id, sig) with the smallest of each permuted shingle hash; documents without a shingle are left out.
 
-    The base hash is the first 28 bits of an MD5, made in the JVM; the permutations are numpy on Arrow batches.
+    The base hash is the first 28 bits of an MD5. Everything is numpy on parts of Arrow batches; a shingle that several
+    texts of a part have is hashed and permuted once.
     """
-    a, b = (np.array(x, np.uint64) for x in zip(*permutations(perms, seed), strict=True))
-    base = F.transform(char_shingles(F.col(text_col)), lambda s: F.conv(F.substring(F.md5(s), 1, 7), 16, 10).cast("long"))
-    src = docs.select(F.col(id_col).alias("id"), base.alias("h"))
-    p, shift = np.uint64(PRIME), np.uint64(31)
-
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for d in batches:
-            d, out = d[d["h"].map(lambda h: h is not None and len(h) > 0)], []
-            for h in d["h"]:
-                h, low = np.unique(np.asarray(h, np.uint64)), np.full(perms, PRIME, np.uint64)
-                for at in range(0, len(h), 512):
-                    x = h[at : at + 512, None] * a + b
-                    x = (x & p) + (x >> shift)  # modulo 2^31 - 1, but for one subtraction
-                    low = np.minimum(low, np.where(x >= p, x - p, x).min(axis=0))
-                out.append(low.astype(np.int64))
-            yield pd.DataFrame({"id": d["id"], "sig": out})
-
-    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    return src.mapInPandas(sign, f"id {kind}, sig array<bigint>")
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return map_parts(src, partial(_signed, perms=permutations(perms, seed)), f"id {kind}, sig array<bigint>", 1 << 20)
 
 
 def buckets(sigs: DataFrame, bands: int = 10, rows: int = 10) -> DataFrame:
@@ -75,11 +103,10 @@ def star_pairs(bucketed: DataFrame) -> DataFrame:
 
 def scored_pairs(pairs: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, over: str = "union", above: float = 0.5) -> DataFrame:
     """Pairs whose shingle sets are alike by more than `above`: (main, other, sim)."""
-    sh = docs.select(F.col(id_col).alias("i"), char_shingles(F.col(text_col)).alias("s"))
-    need = pairs.select(F.col("main").alias("i")).union(pairs.select(F.col("other").alias("i"))).distinct()
-    sh = stage(sh.join(need, "i", "left_semi"), "shingles")
-    a, b = sh.select(F.col("i").alias("main"), F.col("s").alias("sa")), sh.select(F.col("i").alias("other"), F.col("s").alias("sb"))
-    return pairs.join(a, "main").join(b, "other").select("main", "other", jaccard(F.col("sa"), F.col("sb"), over).alias("sim")).where(F.col("sim") > above)
+    t = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    a, b = t.select(F.col("i").alias("main"), F.col("t").alias("ta")), t.select(F.col("i").alias("other"), F.col("t").alias("tb"))
+    s = shingle_overlaps(pairs.join(b, "other").join(a, "main").select("main", "other", "ta", "tb"))
+    return s.select("main", "other", similarity(F.col("both"), F.col("na"), F.col("nb"), over).alias("sim")).where(F.col("sim") > above)
 
 
 def duplicate_edges(docs: DataFrame, sigs: DataFrame | None = None, rounds: int = 1, **how) -> DataFrame:

@@ -16,10 +16,10 @@ def docs(spark, sf):
 
 
 def neighbours(spark, sf):
-    d = docs(spark, sf).select("doc_id", D.char_shingles(F.col("text")).alias("s"))
-    n = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("s").alias("t"))
-    j = lambda over: F.round(D.jaccard(F.col("s"), F.col("t"), over), 9).alias(f"by_{over}")
-    return d.join(n, "doc_id").select("doc_id", j("union"), j("min"), j("max"))
+    d = docs(spark, sf)
+    n = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("next"))
+    j = lambda over: F.round(D.similarity(F.col("both"), F.col("na"), F.col("nb"), over), 9).alias(f"by_{over}")
+    return D.shingle_overlaps(d.join(n, "doc_id")).select("doc_id", j("union"), j("min"), j("max"))
 
 
 def _edges(s, d, rounds=1):
@@ -67,7 +67,7 @@ dg as (select doc_id, unnest(list_transform(range(1, greatest(len(w) - n + 2, 1)
 hit as materialized (select distinct doc_id, ngram from dg join dic using (ngram)), fr as (select ngram, count(doc_id) as df from dic left join hit using (ngram) group by ngram)"""
 
 QUERIES = {
-    "D1_char_shingles": lambda s, d: docs(s, d).select("doc_id", D.char_shingles(F.col("text")).alias("s")).select("doc_id", F.size("s").alias("n"), F.array_min("s").alias("least")),
+    "D1_char_shingles": lambda s, d: D.shingle_sizes(docs(s, d)).select(F.col("id").alias("doc_id"), "n", "least"),
     "D2_jaccard": neighbours,
     "D3_minhash_signatures": lambda s, d: D.signatures(docs(s, d)).select(F.col("id").alias("doc_id"), F.md5(F.array_join(F.transform("sig", lambda x: x.cast("string")), ",")).alias("sig")),
     "D4_lsh_buckets": lambda s, d: D.buckets(D.signatures(docs(s, d))).select(F.col("id").alias("doc_id"), "band", "bucket"),

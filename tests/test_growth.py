@@ -43,3 +43,43 @@ def test_inner_products_of_odd_vectors(spark):
     got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in top_inner_products(e.where("vec_id in (0, 7)"), e, 9).collect()}
     assert [got.pop((0, k))[0] for k in range(1, 6)] == [1, 5, 0, 6, 2] and got == {(7, 1): (7, 0.0)}
     assert top_inner_products(e.where("vec_id < 0"), e, 9).isEmpty()
+
+
+ODD_TEXTS = ["", None, "abcd", "abcde", "abcdef", "aaaaaaaaaa", "x😀y😀z😀x😀y", "é€ü" * 9, "the cat sat on the mat, the cat sat on the mat"]
+
+
+def windows(x):
+    x = x or ""
+    return {x[i : i + 5] for i in range(len(x) - 5)}
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(list(enumerate(ODD_TEXTS)), "doc_id long, text string").repartition(2)
+
+
+def test_signatures_are_over_whole_characters(odd):
+    import hashlib
+
+    from quern.operators.dedup import PRIME, permutations, signatures
+
+    h = {i: [int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in windows(x)] for i, x in enumerate(ODD_TEXTS)}
+    want = {i: [min((a * v + b) % PRIME for v in x) for a, b in permutations(100)] for i, x in h.items() if x}
+    got = signatures(odd)
+    assert {r.id: list(r.sig) for r in got.collect()} == want
+    assert "regexp" not in plan(got) and "md5" not in plan(got)  # neither for each shingle of each document
+
+
+def test_shingles_beyond_an_alphabet_of_one_number():
+    import hashlib
+
+    from quern.operators.shingles import Shingled, hashes, shared
+
+    long = "".join(map(chr, range(0x4E00, 0x4E00 + 7000))) + "😀abc" * 3
+    texts = [long, "", long[:40], long[20:90] + "é"]
+    s = Shingled(texts)
+    rows, place, ends = s.told()
+    names = ["".join(map(chr, r)) for r in rows]
+    assert names == sorted(set(names)) and hashes(rows).tolist() == [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in names]
+    assert [set(names[i] for i in place[e - len(x) : e]) for x, e in zip(s.sets, ends)] == [windows(x) for x in texts]
+    assert shared(s.sets[0], s.sets[3]) == len(windows(texts[0]) & windows(texts[3])) == 66
