@@ -83,3 +83,26 @@ def test_shingles_beyond_an_alphabet_of_one_number():
     assert names == sorted(set(names)) and hashes(rows).tolist() == [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in names]
     assert [set(names[i] for i in place[e - len(x) : e]) for x, e in zip(s.sets, ends)] == [windows(x) for x in texts]
     assert shared(s.sets[0], s.sets[3]) == len(windows(texts[0]) & windows(texts[3])) == 66
+
+
+def test_tokens_of_pieces_are_the_library_s():
+    import random
+
+    import public_tokenizers
+
+    from quern.operators.tokenizer import loaded
+
+    rng, k = random.Random(5), loaded(public_tokenizers.path("byte_bpe_50k.json"))
+    letters = [*"ab'sStrRveELld  \t\n\r\x0b\x0c019_.-<|>!?éÀ×÷ÿß", "'ll", "'re", "  ", "<|endoftext|>", "\x1c", "²", "\xa0", "😀", "中"]
+    texts = ["".join(rng.choices(letters[: rng.choice([-7, 99])], k=rng.randrange(60))) for _ in range(5_000)]
+    want = [e.ids for e in k.t.encode_batch(texts, add_special_tokens=False)]
+    assert k.encode(texts) == want
+    asked, model, k.young, k.old = [], k.model, {}, {}
+    k.model = type("Counted", (), {"tokenize": lambda self, x: asked.append(x) or model.tokenize(x)})()
+    try:
+        assert k.encode(["abs  sab é"] * 1_000) == [k.t.encode("abs  sab é", add_special_tokens=False).ids] * 1_000
+        assert len(asked) == len(set(asked)) == 4  # the model sees a piece once
+    finally:
+        k.model = model
+    ids = [rng.choices(range(50_300), k=rng.randrange(20)) for _ in range(5_000)]
+    assert k.decode(ids) == k.t.decode_batch(ids, skip_special_tokens=False)
