@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,12 +18,13 @@ def fixed_length(ids: Column, length: int, eod: int | None) -> Column:
 
 def image_words(content: Column) -> Column:
     """Bytes as 32-bit little-endian words: first how many zero bytes were added to fill the last one, then the words."""
-    pad = F.pmod(-F.octet_length(content), F.lit(4))
-    text = F.concat(F.hex(content), F.repeat(F.lit("00"), pad))
-    word = lambda x: F.conv(F.concat(*[F.substring(x, k, 2) for k in (7, 5, 3, 1)]), 16, 10).cast("long")
-    signed = lambda x: F.when(x >= 2**31, x - 2**32).otherwise(x).cast("int")
-    words = F.transform(F.regexp_extract_all(text, F.lit(".{8}"), F.lit(0)), lambda x: signed(word(x)))
-    return F.concat(F.array(pad.cast("int")), words)
+
+    @F.pandas_udf("array<int>")
+    def run(x: pd.Series) -> pd.Series:
+        made = [None if v is None else np.concatenate([[-len(v) % 4], np.frombuffer(bytes(v) + bytes(-len(v) % 4), "<i4")]).astype(np.int32) for v in x]
+        return pd.Series(made, dtype=object)
+
+    return run(content)
 
 
 def ingest(texts: DataFrame, images: DataFrame, key: str = "key", ids: str = "ids", content: str = "content", *, length: int, eod: int | None) -> DataFrame:
