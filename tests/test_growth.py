@@ -106,3 +106,36 @@ def test_tokens_of_pieces_are_the_library_s():
         k.model = model
     ids = [rng.choices(range(50_300), k=rng.randrange(20)) for _ in range(5_000)]
     assert k.decode(ids) == k.t.decode_batch(ids, skip_special_tokens=False)
+
+
+def test_language_is_told_from_words_named_once(spark):
+    from quern.functions.text import words
+    from quern.operators.samples import detected_language
+
+    texts = ["The cat and the dog", "le chat et la", "der Hund und die", "el gato y los", "", None, "xyz", "la"]
+    d = spark.createDataFrame(list(enumerate(texts)), "i long, t string").repartition(2).select("i", detected_language(words(F.col("t"))).alias("found"))
+    assert [r.found for r in d.orderBy("i").collect()] == ["en", "fr", "de", "es", None, None, None, "es"]
+    assert plan(d).count("regexp_extract_all") == 1
+
+
+def test_rows_are_made_in_small_parts(spark):
+    import pyarrow as pa
+
+    from quern.operators.arrow import PART, parts
+    from quern.operators.samples import per_row
+
+    b = pa.RecordBatch.from_pydict({"i": list(range(300)), "k": [["word"] * (50 * i) for i in range(300)]})
+    cut = list(parts(b))
+    assert sum(x.num_rows for x in cut) == 300 and len(cut) > 9 and all(x.nbytes <= PART or x.num_rows == 1 for x in cut)
+    got = per_row(spark.range(5).selectExpr("id", "array_repeat('a', int(id)) as k"), lambda r: [(r.id, x) for x in r.k], "id long, w string")
+    assert sorted(map(tuple, got.collect())) == [(i, "a") for i in range(5) for _ in range(i)]
+
+
+def test_image_words_of_any_bytes(spark):
+    from quern.sources.pairs import image_words
+
+    raw = [b"", None, b"\x01", b"\xff\xff\xff\xff\x01\x00\x00\x80", bytes(range(256)) * 40 + b"abc"]
+    d = spark.createDataFrame(list(enumerate(raw)), "i long, b binary").select("i", image_words(F.col("b")).alias("w"))
+    got = {r.i: r.w for r in d.collect()}
+    word = lambda x: [-len(x) % 4, *(int.from_bytes((x + b"\0" * 3)[k : k + 4], "little", signed=True) for k in range(0, len(x), 4))]
+    assert got == {i: None if x is None else word(x) for i, x in enumerate(raw)} and "regexp" not in plan(d)
