@@ -92,6 +92,11 @@ class Vectors:
                 norm = np.sqrt((plain * plain).sum(axis=1))
                 self.by.setdefault(m.shape[1], []).append((at[to], m[to], np.ascontiguousarray(plain.T), null[to], odd[to], norm, Best(len(plain), k, kind)))
 
+    def anew(self) -> None:
+        """Forgets all rows."""
+        for blocks in self.by.values():
+            blocks[:] = [(*x, Best(best.n, best.k, best.ids.type)) for *x, best in blocks]
+
     def meet(self, ids: pa.Array, rows: pa.Array) -> None:
         """Products by matrices tell apart what can't be among the k best, by a bound on what the order of a sum can change;
         the others are summed in order, as SQL does."""
@@ -105,8 +110,13 @@ class Vectors:
                 for at, m, turned, null, odd, norm, best in self.by[d]:
                     s = plain @ turned
                     slack = 4 * (d + 4) * EPS * reach * norm + np.finfo(np.float64).tiny
+                    if own is not None:
+                        mine = own[place[i : i + ROWS]]
+                        to = np.minimum(np.searchsorted(at, mine), len(at) - 1)
+                        same = np.flatnonzero(at[to] == mine)
+                        s[same, to[same]] = -np.inf
                     least, new = best.bound, np.flatnonzero(np.isneginf(best.bound))
-                    if own is None and len(new) and len(s) > best.k and not odd_row.any():
+                    if len(new) and len(s) > best.k and not odd_row.any():
                         least = least.copy()
                         least[new] = np.partition(s[:, new], len(s) - best.k, axis=0)[len(s) - best.k] - slack[new]
                     hit = s >= least - slack

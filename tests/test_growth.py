@@ -139,3 +139,25 @@ def test_image_words_of_any_bytes(spark):
     got = {r.i: r.w for r in d.collect()}
     word = lambda x: [-len(x) % 4, *(int.from_bytes((x + b"\0" * 3)[k : k + 4], "little", signed=True) for k in range(0, len(x), 4))]
     assert got == {i: None if x is None else word(x) for i, x in enumerate(raw)} and "regexp" not in plan(d)
+
+
+def test_few_shot_of_many_topics(spark, vectors):
+    from quern.operators.samples import few_shot
+
+    v, e = vectors
+    topic = lambda i: i % 3 if i < 400 else i  # three large topics, and 300 of one example
+    ex = e.selectExpr("vec_id as e", "if(vec_id < 400, vec_id % 3, vec_id) as topic", "embedding as v")
+    qs = e.where("vec_id % 9 = 0").selectExpr("vec_id as q", "if(vec_id % 2 = 0, -1, if(vec_id < 400, vec_id % 3, vec_id)) as topic", "embedding as qv")
+    want = set()
+    for q in range(0, 700, 9):
+        s = {i: in_order(v[q], v[i]) for i in v if i != q}
+        if q % 2:
+            best = sorted((i for i in s if topic(i) == topic(q)), key=lambda i: (-s[i], i))[:4]
+            want |= {(q, 4 - r, i) for r, i in enumerate(best)}
+        else:
+            best = {}
+            for i in sorted(s, key=lambda i: (-s[i], i)):
+                best.setdefault(topic(i), i)
+            want |= {(q, r + 1, i) for r, i in enumerate(sorted(best.values(), key=lambda i: (s[i], i))[:4])}
+    got = few_shot(qs, ex, k=4, block=30, apart=True)
+    assert set(map(tuple, got.collect())) == want and "NestedLoop" not in plan(got)
